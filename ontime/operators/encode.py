@@ -102,6 +102,11 @@ def fit_features(train: DataFrame, test: DataFrame, pipeline: Pipeline | None =
     return EncodedSplit(trim_raw(model.transform(train)), trim_raw(model.transform(test)), model)
 
 
+def vector_width(df: DataFrame, vector: str) -> int:
+    """Number of slots of a vector column, from metadata."""
+    return df.schema[vector].metadata["ml_attr"]["num_attrs"]
+
+
 def feature_names(df: DataFrame, features: str = FEATURES) -> DataFrame:
     """(idx, kind, name) per slot of the vector, in slot order, from metadata."""
     groups = df.schema[features].metadata.get("ml_attr", {}).get("attrs", {})

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ontime import config
 from ontime.functions import hash_bucket, logistic
 
+SCORE_DIGITS = 12
+
 
 def assign_parts(
     df: DataFrame,
@@ -54,6 +56,11 @@ def random_split(
 def score_linear(
     df: DataFrame, weights: dict[str, float], intercept: float = 0.0, threshold: float = 0.5
 ) -> DataFrame:
-    """Add the logistic ``probability`` and 0/1 ``prediction`` of given weights."""
-    scored = df.withColumn("probability", logistic(weights, intercept))
+    """Add the logistic ``probability`` and 0/1 ``prediction`` of given weights.
+
+    The probability keeps 12 decimals: equal scores then tie whatever order the
+    terms were added in and whichever platform computed the exponential, which
+    matters to rank measures such as the area under ROC.
+    """
+    scored = df.withColumn("probability", F.round(logistic(weights, intercept), SCORE_DIGITS))
     return scored.withColumn("prediction", F.when(F.col("probability") > threshold, 1.0).otherwise(0.0))

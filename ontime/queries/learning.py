@@ -31,7 +31,7 @@ from ontime.operators import (
     top_bottom,
     with_score,
 )
-from ontime.operators.encode import FEATURES, index_name, scaled_name, vector_name
+from ontime.operators.encode import FEATURES, index_name, scaled_name, vector_name, vector_width
 from ontime.plans.flights import ROW_KEY
 from ontime.queries import stages
 from ontime.queries.tables import CATEGORIES, rounded
@@ -39,12 +39,9 @@ from ontime.session import new_folder
 from ontime.sources import save_model
 
 
-def active_slots(vector: str, upto: int | None = None) -> Column:
-    """Positions of the ones of a 0/1 vector."""
-    marked = F.transform(vector_to_array(vector), lambda x, i: F.when(x == 1.0, i))
-    if upto is not None:
-        marked = F.slice(marked, 1, upto)
-    return F.filter(marked, lambda i: i.isNotNull())
+def fired_slot(values: Column) -> Column:
+    """Position of the one in a 0/1 array; -1 if there is none."""
+    return (F.array_position(values, F.lit(1.0)) - 1).cast("int")
 
 
 def first_value(vector: str) -> Column:
@@ -65,10 +62,7 @@ def encode_onehot(spark: SparkSession, d: str) -> DataFrame:
         one_hot(config.STRING_CATEGORIES, config.INTEGER_CATEGORIES),
     ]
     encoded = Pipeline(stages=stages_).fit(table).transform(table)
-    slots = [
-        F.coalesce(F.get(active_slots(vector_name(c)), F.lit(0)), F.lit(-1)).cast("int").alias(c)
-        for c in CATEGORIES
-    ]
+    slots = [fired_slot(vector_to_array(vector_name(c))).alias(c) for c in CATEGORIES]
     return encoded.select(ROW_KEY, *slots)
 
 
@@ -97,15 +91,18 @@ def feature_vectors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def describe_vectors(df: DataFrame) -> DataFrame:
-    n_scaled = len(config.CONTINUOUS_COLUMNS)
-    width = feature_names(df).count()
     values = vector_to_array(FEATURES)
+    offset, fired = 0, []
+    for c in CATEGORIES:
+        slots = vector_width(df, vector_name(c))
+        fired.append((fired_slot(F.slice(values, offset + 1, slots)) + offset).cast("string"))
+        offset += slots
     return df.select(
         ROW_KEY,
         F.size(values).alias("n_slots"),
-        F.array_join(active_slots(FEATURES, width - n_scaled).cast("array<string>"), "|").alias("active"),
-        F.round(values[width - 2], 6).alias("scaled_elapsed"),
-        F.round(values[width - 1], 6).alias("scaled_distance"),
+        F.concat_ws("|", *fired).alias("active"),
+        F.round(values[offset], 6).alias("scaled_elapsed"),
+        F.round(values[offset + 1], 6).alias("scaled_distance"),
     )
 
 

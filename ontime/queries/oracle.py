@@ -71,7 +71,7 @@ STEPS = {
         {SEASON} AS Season FROM model_input""",
     "parted": f"""SELECT *, CASE WHEN {_bucket(config.SEED, config.SPLIT_BUCKETS)} < 700 THEN 0 ELSE 1 END AS part FROM featured""",
     "scored": f"""SELECT *, CASE WHEN probability > 0.5E0 THEN 1.0E0 ELSE 0.0E0 END AS prediction FROM
-        (SELECT *, 1.0E0 / (1.0E0 + exp(-({_score}))) AS probability FROM featured)""",
+        (SELECT *, round(1.0E0 / (1.0E0 + exp(-({_score}))), 12) AS probability FROM featured)""",
 }
 # Steps each step reads.
 BEFORE = {
