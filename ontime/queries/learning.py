@@ -49,14 +49,14 @@ def first_value(vector: str) -> Column:
 
 
 def string_index(spark: SparkSession, d: str) -> DataFrame:
-    table = stages.featured(spark, d).select(ROW_KEY, *config.STRING_CATEGORIES)
+    table = stages.feature_table(spark, d).select(ROW_KEY, *config.STRING_CATEGORIES)
     indexed = string_indexer(config.STRING_CATEGORIES).fit(table).transform(table)
     return indexed.select(ROW_KEY, *map(index_name, config.STRING_CATEGORIES))
 
 
 def encode_onehot(spark: SparkSession, d: str) -> DataFrame:
     """The slot that fires per category column; -1 if none does."""
-    table = stages.featured(spark, d).select(ROW_KEY, *CATEGORIES)
+    table = stages.feature_table(spark, d).select(ROW_KEY, *CATEGORIES)
     stages_ = [
         string_indexer(config.STRING_CATEGORIES),
         one_hot(config.STRING_CATEGORIES, config.INTEGER_CATEGORIES),
@@ -75,7 +75,7 @@ def minmax_scale(spark: SparkSession, d: str) -> DataFrame:
 
 
 def vectorize_continuous(spark: SparkSession, d: str) -> DataFrame:
-    table = stages.featured(spark, d).select(ROW_KEY, *config.CONTINUOUS_COLUMNS)
+    table = stages.feature_table(spark, d).select(ROW_KEY, *config.CONTINUOUS_COLUMNS)
     for stage in min_max(config.CONTINUOUS_COLUMNS)[: len(config.CONTINUOUS_COLUMNS)]:
         table = stage.transform(table)
     return table.select(
@@ -85,19 +85,20 @@ def vectorize_continuous(spark: SparkSession, d: str) -> DataFrame:
 
 def feature_vectors(spark: SparkSession, d: str) -> DataFrame:
     """Vector width, positions of the ones and the scaled values, per row."""
-    table = stages.featured(spark, d)
+    table = stages.feature_table(spark, d)
     result = feature_pipeline().fit(table).transform(table)
     return describe_vectors(result)
 
 
 def describe_vectors(df: DataFrame) -> DataFrame:
-    values = vector_to_array(FEATURES)
+    arrays = df.select(ROW_KEY, vector_to_array(FEATURES).alias("values"))
+    values = F.col("values")
     offset, fired = 0, []
     for c in CATEGORIES:
         slots = vector_width(df, vector_name(c))
         fired.append((fired_slot(F.slice(values, offset + 1, slots)) + offset).cast("string"))
         offset += slots
-    return df.select(
+    return arrays.select(
         ROW_KEY,
         F.size(values).alias("n_slots"),
         F.concat_ws("|", *fired).alias("active"),

@@ -32,9 +32,9 @@ from ontime.plans import (
     write_features,
 )
 from ontime.plans.flights import ROW_KEY
-from ontime.plans.preparation import TEST_DATA, TRAINING_DATA
+from ontime.plans.preparation import FEATURES, TEST_DATA, TRAINING_DATA
 from ontime.session import new_folder
-from ontime.sources import read_landing, write_zone
+from ontime.sources import read_landing, read_zone, write_zone
 
 # A fixed score for checking the evaluation operators without training.
 SCORE_WEIGHTS = {
@@ -60,17 +60,15 @@ def work_folder(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "root", lambda: new_folder(spark, "flights"))
 
 
-def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw flight records: 44 columns, RowKey and source_file."""
-    root = work_folder(spark, sf_dir)
-    view = flights(spark, sf_dir)
-    path = _once(spark, sf_dir, "landing", lambda: write_zone(view, root, "landing"))
-    return read_landing(spark, path, schema=view.schema)
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw flight records from the landing folder: 44 columns and RowKey."""
 
+    def land() -> DataFrame:
+        view = flights(spark, sf_dir)
+        path = write_zone(view, work_folder(spark, sf_dir), "landing")
+        return read_landing(spark, path, schema=view.schema, tag_source=False)
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw flight records with RowKey."""
-    return landed(spark, sf_dir).drop("source_file")
+    return _once(spark, sf_dir, "landing", land)
 
 
 def by_year(df: DataFrame) -> DataFrame:
@@ -79,29 +77,41 @@ def by_year(df: DataFrame) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_flights(raw(spark, sf_dir), carry=[ROW_KEY])
+    return _once(
+        spark, sf_dir, "cleaned", lambda: clean_flights(raw(spark, sf_dir), carry=[ROW_KEY])
+    )
 
 
 def model_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_for_model(cleaned(spark, sf_dir))
+    return _once(spark, sf_dir, "model_input", lambda: clean_for_model(cleaned(spark, sf_dir)))
 
 
 def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return add_features(model_input(spark, sf_dir))
+    return _once(spark, sf_dir, "featured", lambda: add_features(model_input(spark, sf_dir)))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_linear(featured(spark, sf_dir), SCORE_WEIGHTS, SCORE_INTERCEPT)
 
 
-def parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Training and test part of the written feature table."""
+def features_root(spark: SparkSession, sf_dir: str) -> str:
+    """The folder below which the feature table is written."""
     root = work_folder(spark, sf_dir)
     _once(
         spark, sf_dir, "features",
         lambda: write_features(cleaned(spark, sf_dir), root, [ROW_KEY]),
     )
-    return read_parts(spark, root)
+    return root
+
+
+def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written feature table: the narrow input of every fit."""
+    return read_zone(spark, features_root(spark, sf_dir), FEATURES).drop("part")
+
+
+def parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Training and test part of the written feature table."""
+    return read_parts(spark, features_root(spark, sf_dir))
 
 
 def encoded(spark: SparkSession, sf_dir: str) -> EncodedSplit:

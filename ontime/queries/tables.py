@@ -121,10 +121,8 @@ def zone_rename(spark: SparkSession, d: str) -> DataFrame:
 
 def write_cleaned(spark: SparkSession, d: str) -> DataFrame:
     """The cleaning job from landing to cleaned, read back."""
-    stages.landed(spark, d)
-    result = cleaning_job(
-        spark, stages.work_folder(spark, d), schema=stages.raw(spark, d).schema, carry=[ROW_KEY]
-    )
+    schema = stages.raw(spark, d).schema
+    result = cleaning_job(spark, stages.work_folder(spark, d), schema=schema, carry=[ROW_KEY])
     table = cast_columns(read_cleaned(spark, result.path), {"FlightDate": "string"})
     return select_columns(table, [*config.FLIGHT_COLUMNS, ROW_KEY])
 

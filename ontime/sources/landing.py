@@ -26,21 +26,24 @@ def read_landing(
     last_file: str | None = None,
     glob: str = "*.parquet",
     merge_schema: bool = False,
+    tag_source: bool = True,
 ) -> DataFrame:
     """All landing files as one table, tagged with ``source_file``.
 
     ``last_file`` keeps the files up to and including that name. It filters on
     file metadata, so later files are pruned before any of them is opened. Pass
-    ``schema`` for large folders: it saves the footer reads of inference.
+    ``schema`` for large folders: it saves the footer reads of inference. Leave
+    ``tag_source`` off where the tag is not used: a tag that is dropped later
+    still makes the scan produce every metadata field, row numbers included.
     """
     reader = spark.read.option("pathGlobFilter", glob).option("mergeSchema", merge_schema)
     if schema is not None:
         reader = reader.schema(schema)
-    files = reader.parquet(path)
-    tagged = files.select("*", F.col("_metadata.file_name").alias("source_file"))
+    table = reader.parquet(path)
+    file_name = F.col("_metadata.file_name")
     if last_file is not None:
-        tagged = tagged.filter(F.col("source_file") <= last_file)
-    return tagged
+        table = table.filter(file_name <= last_file)
+    return table.select("*", file_name.alias("source_file")) if tag_source else table
 
 
 def read_cleaned(
