@@ -15,19 +15,7 @@ from ontime.operators.projection import numeric_columns, type_class
 from ontime.operators.running import exact_percentiles, percentile_name
 
 QUARTILES = (0.25, 0.5, 0.75)
-
-
-def _long(wide: DataFrame, columns: Sequence[str], fields: dict[str, str], ids: Sequence[str] = ()) -> DataFrame:
-    """Turn an aggregate with columns ``<field>_<i>`` into one row per column."""
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"), *[F.col(f"{f}_{i}").alias(out) for f, out in fields.items()]
-            )
-            for i, c in enumerate(columns)
-        ]
-    )
-    return wide.select(*ids, F.inline(rows))
+ROW_HASH_SEEDS = (1, 2, 3)
 
 
 def _count_columns(df: DataFrame, condition, names: Sequence[str], out: str) -> DataFrame:
@@ -35,7 +23,10 @@ def _count_columns(df: DataFrame, condition, names: Sequence[str], out: str) ->
     counted = df.agg(
         *[F.count_if(condition(F.col(c), kinds[c])).alias(f"n_{i}") for i, c in enumerate(names)]
     )
-    return _long(counted, names, {"n": out})
+    rows = [
+        F.struct(F.lit(c).alias("column"), F.col(f"n_{i}").alias(out)) for i, c in enumerate(names)
+    ]
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def non_null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -66,17 +57,35 @@ def rows_with_nulls(df: DataFrame) -> DataFrame:
     return df.agg(F.count_if(any_missing(df)).alias("n_rows"))
 
 
-def duplicate_count(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
+def duplicate_count(
+    df: DataFrame, subset: Sequence[str] | None = None, hashed: bool = False
+) -> DataFrame:
     """Rows beyond the first of each group of equal rows; nulls are equal.
 
-    Equal rows collapse before the shuffle. Over all columns of distinct rows
-    the shuffle carries the table, so name a key in ``subset`` where one exists.
+    Equal rows collapse before the shuffle, but distinct rows travel whole.
+    ``hashed`` groups by a 192-bit row hash instead, 24 bytes per distinct row
+    whatever the width of the table. Columns that hold nested values are always
+    compared as they are.
     """
-    names = df.columns if subset is None else subset
-    groups = df.groupBy(*names).agg(F.count("*").alias("n"))
+    names = df.columns if subset is None else list(subset)
+    keys: list[str | Column] = list(names)
+    if hashed:
+        kinds = dict(df.dtypes)
+        nested = [c for c in names if kinds[c].startswith(config.NESTED_TYPES)]
+        flat = [c for c in names if c not in nested]
+        keys = [*nested, *[_row_hash(flat, seed).alias(f"_h{seed}") for seed in ROW_HASH_SEEDS]]
+    rows = df.select(*keys)
+    groups = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_duplicates"))
 
 
+def _row_hash(names: Sequence[str], seed: int) -> Column:
+    """64-bit hash of a row. A null leaves the hash as it is, so each null test
+    goes in too: otherwise (null, 1) and (1, null) would look the same."""
+    parts = [part for c in names for part in (F.col(c).isNull(), F.col(c))]
+    return F.xxhash64(F.lit(seed), *parts)
+
+
 def cell_counts(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
     """(ids, column, value, n) with values as text: the common base of distinct
     counts, bar charts and categorical profiles, for any number of columns.
@@ -100,16 +109,30 @@ def _as_text(column: Column, kind: str) -> Column:
     return unsigned_zero(drop_nan(column, kind), kind).cast("string")
 
 
+def _numeric_cells(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
+    """(ids, column, value): one row per cell, as double, NaN as null.
+
+    A few aggregates over long rows run in generated code; a few hundred over a
+    wide row would leave it.
+    """
+    kinds = dict(df.dtypes)
+    cells = df.select(*ids, *[drop_nan(F.col(c), kinds[c]).cast("double").alias(c) for c in cols])
+    return cells.unpivot(list(ids), list(cols), "column", "value")
+
+
 def numeric_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, value, n) with values as doubles; null and NaN left out."""
-    kinds = dict(df.dtypes)
-    cells = df.select(*[drop_nan(F.col(c), kinds[c]).cast("double").alias(c) for c in cols])
-    return (
-        cells.unpivot([], list(cols), "column", "value")
-        .filter(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count("*").alias("n"))
-    )
+    cells = _numeric_cells(df, cols).filter(F.col("value").isNotNull())
+    return cells.groupBy("column", "value").agg(F.count("*").alias("n"))
+
+
+def _moments() -> list[Column]:
+    return [
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    ]
 
 
 def describe_numeric(
@@ -126,25 +149,14 @@ def describe_numeric(
     """
     names = numeric_columns(df) if cols is None else list(cols)
     probabilities = QUARTILES if percentiles is True else tuple(percentiles or ())
-    kinds = dict(df.dtypes)
-    aggregates = []
-    for i, c in enumerate(names):
-        x = drop_nan(F.col(c), kinds[c]).cast("double")
-        aggregates += [
-            F.count(x).alias(f"n_{i}"),
-            F.avg(x).alias(f"mean_{i}"),
-            F.stddev_samp(x).alias(f"std_{i}"),
-            F.min(x).alias(f"min_{i}"),
-            F.max(x).alias(f"max_{i}"),
-        ]
-        if approx and probabilities:
-            sketch = F.percentile_approx(x, list(probabilities), accuracy)
-            aggregates += [sketch.alias(f"sketch_{i}")]
-    fields = {"n": "n_values", "mean": "mean", "std": "std", "min": "min", "max": "max"}
-    if approx and probabilities:
-        fields["sketch"] = "sketch"
-    table = _long(df.agg(*aggregates), names, fields)
     marks = [percentile_name(p) for p in probabilities]
+    # One null cell per column gives every column a line, even in an empty table.
+    blank = df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(c) for c in names])
+    cells = _numeric_cells(df, names).unionByName(_numeric_cells(blank, names))
+    aggregates = [F.count("value").alias("n_values"), *_moments()]
+    if approx and probabilities:
+        aggregates.append(F.percentile_approx("value", list(probabilities), accuracy).alias("sketch"))
+    table = cells.groupBy("column").agg(*aggregates)
     if approx and probabilities:
         table = table.select("*", *[F.col("sketch")[i].alias(m) for i, m in enumerate(marks)])
     elif probabilities:
@@ -158,19 +170,11 @@ def describe_numeric(
 def profile_numeric(df: DataFrame, source: str, cols: Sequence[str] | None = None) -> DataFrame:
     """Per source file and numeric column: min, max, mean, std and missing cells."""
     names = [c for c in numeric_columns(df) if c != source] if cols is None else list(cols)
-    kinds = dict(df.dtypes)
-    aggregates = []
-    for i, c in enumerate(names):
-        x = drop_nan(F.col(c), kinds[c]).cast("double")
-        aggregates += [
-            F.min(x).alias(f"min_{i}"),
-            F.max(x).alias(f"max_{i}"),
-            F.avg(x).alias(f"mean_{i}"),
-            F.stddev_samp(x).alias(f"std_{i}"),
-            F.count_if(x.isNull()).alias(f"missing_{i}"),
-        ]
-    fields = {"min": "min", "max": "max", "mean": "mean", "std": "std", "missing": "n_missing"}
-    return _long(df.groupBy(source).agg(*aggregates), names, fields, [source])
+    return (
+        _numeric_cells(df, names, [source])
+        .groupBy(source, "column")
+        .agg(*_moments(), F.count_if(F.col("value").isNull()).alias("n_missing"))
+    )
 
 
 def profile_categorical(df: DataFrame, source: str, cols: Sequence[str]) -> DataFrame:
@@ -204,55 +208,42 @@ def profile_categorical(df: DataFrame, source: str, cols: Sequence[str]) -> Data
 
 def profile(df: DataFrame) -> DataFrame:
     """The whole table profile as (metric, column, value); table-level metrics
-    carry the column name ``*``.
-
-    Counts, null tests and number summaries share one scan; quartiles and
-    duplicates need their own shuffle.
-    """
+    carry the column name ``*``."""
     kinds = dict(df.dtypes)
     names = numeric_columns(df)
-    measures: list[tuple[str, str, Column]] = [("rows_with_nulls", "*", F.count_if(any_missing(df)))]
-    for c, kind in kinds.items():
-        missing = is_missing(F.col(c), kind)
-        measures.append(("values", c, F.count_if(~missing)))
-        measures.append(("has_nulls", c, F.max(missing)))
-    for c in names:
-        x = drop_nan(F.col(c), kinds[c]).cast("double")
-        measures += [
-            ("mean", c, F.avg(x)),
-            ("std", c, F.stddev_samp(x)),
-            ("min", c, F.min(x)),
-            ("max", c, F.max(x)),
-            (f"{type_class(kinds[c])}_type", c, F.lit(1.0)),
-        ]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(metric).alias("metric"),
-                F.lit(c).alias("column"),
-                F.col(f"m{i}").cast("double").alias("value"),
-            )
-            for i, (metric, c, _) in enumerate(measures)
-        ]
+
+    counts = df.agg(
+        F.count("*").alias("rows"),
+        F.count_if(any_missing(df)).alias("incomplete"),
+        *[F.count_if(~is_missing(F.col(c), kind)).alias(f"n_{i}") for i, (c, kind) in enumerate(kinds.items())],
     )
-    summary = df.agg(*[m.alias(f"m{i}") for i, (_, _, m) in enumerate(measures)])
+    cells = [_metric("rows_with_nulls", "*", F.col("incomplete"))]
+    for i, (c, kind) in enumerate(kinds.items()):
+        cells.append(_metric("values", c, F.col(f"n_{i}")))
+        cells.append(_metric("has_nulls", c, (F.col(f"n_{i}") < F.col("rows")).cast("int")))
+        if c in names:
+            cells.append(_metric(f"{type_class(kind)}_type", c, F.lit(1)))
     tables = [
-        summary.select(F.inline(rows)).filter("metric != 'has_nulls' OR value > 0"),
-        duplicate_count(df).select(
-            F.lit("duplicate_rows").alias("metric"),
-            F.lit("*").alias("column"),
-            F.col("n_duplicates").cast("double").alias("value"),
+        counts.select(F.inline(F.array(*cells))).filter("metric != 'has_nulls' OR value > 0"),
+        duplicate_count(df, hashed=True).select(
+            F.inline(F.array(_metric("duplicate_rows", "*", F.col("n_duplicates"))))
         ),
     ]
     if names:
-        quartiles = exact_percentiles(numeric_counts(df, names), QUARTILES)
-        marks = [percentile_name(p) for p in QUARTILES]
+        described = describe_numeric(df, names).drop("n_values")
+        measures = [m for m in described.columns if m != "column"]
         tables.append(
-            quartiles.unpivot(["column"], marks, "metric", "value").select("metric", "column", "value")
+            described.unpivot(["column"], measures, "metric", "value").select("metric", "column", "value")
         )
     return reduce(DataFrame.unionByName, tables)
 
 
+def _metric(name: str, column: str, value: Column) -> Column:
+    return F.struct(
+        F.lit(name).alias("metric"), F.lit(column).alias("column"), value.cast("double").alias("value")
+    )
+
+
 def shape_profile(df: DataFrame) -> DataFrame:
     """(n_columns, n_rows, column, type): the schema with the row count."""
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(k).alias("type")) for c, k in df.dtypes])

@@ -250,7 +250,7 @@ QUERIES = {
     "null_counts": lambda s, d: null_counts(stages.raw(s, d)),
     "columns_with_nulls": lambda s, d: columns_with_nulls(stages.raw(s, d)),
     "rows_with_nulls": lambda s, d: rows_with_nulls(stages.raw(s, d)),
-    "duplicate_count": lambda s, d: duplicate_count(stages.raw(s, d).drop(ROW_KEY)),
+    "duplicate_count": lambda s, d: duplicate_count(stages.raw(s, d).drop(ROW_KEY), hashed=True),
     "duplicate_count_subset": lambda s, d: duplicate_count(stages.raw(s, d), ["Origin", "Dest", "Month"]),
     "describe_all": lambda s, d: rounded(describe_numeric(stages.raw(s, d))),
     "describe_column": lambda s, d: rounded(

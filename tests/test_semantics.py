@@ -121,6 +121,23 @@ def test_duplicates_count_nulls_as_equal(spark):
     assert duplicate_count(table.limit(0)).first().n_duplicates == 0
 
 
+def test_hashed_duplicates_tell_shifted_nulls_and_nested_values_apart(spark):
+    table = spark.createDataFrame(
+        [(None, 1, [[1], [2]]), (1, None, [[1], [2]]), (1, None, [[1, 2]]), (1, None, [[1, 2]])],
+        "a int, b int, c array<array<int>>",
+    )
+    assert duplicate_count(table, hashed=True).first().n_duplicates == 1
+    assert duplicate_count(table, ["a", "b"], hashed=True).first().n_duplicates == 2
+    signs = spark.createDataFrame([(0.0,), (-0.0,), (NAN,), (NAN,), (None,)], "x double")
+    for hashed in (False, True):
+        assert duplicate_count(signs, hashed=hashed).first().n_duplicates == 2
+
+
+def test_empty_table_is_described_per_column(spark):
+    row = describe_numeric(column(spark, [], "double")).first()
+    assert (row["column"], row.n_values, row["mean"], row.p50) == ("x", 0, None, None)
+
+
 def test_duplicates_and_distinct_rows_make_the_table(spark):
     table = spark.range(1000).select((F.col("id") % 7).alias("a"), (F.col("id") % 3).alias("b"))
     assert duplicate_count(table).first().n_duplicates + table.distinct().count() == 1000
