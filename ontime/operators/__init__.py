@@ -85,6 +85,7 @@ from ontime.operators.stats import (
     chi_square_onehot,
     chi_square_table,
     corr_matrix,
+    corr_matrix_wide,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

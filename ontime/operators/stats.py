@@ -7,7 +7,8 @@ from functools import reduce
 from itertools import combinations_with_replacement
 from operator import add
 
-from pyspark.ml.stat import ChiSquareTest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import ChiSquareTest, Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +17,8 @@ from ontime.operators.encode import FEATURES, feature_names, vector_name
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(a, b, r): Pearson correlation of every pair, all in one pass."""
+    """(a, b, r): Pearson correlation of every pair, all in one pass; each pair
+    uses the rows where both values are known."""
     kinds = dict(df.dtypes)
     x = {c: drop_nan(F.col(c), kinds[c]).cast("double") for c in cols}
     pairs = list(combinations_with_replacement(cols, 2))
@@ -32,6 +34,15 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*cells)))
 
 
+def corr_matrix_wide(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(a, b, r) for many columns, from one covariance matrix instead of an
+    aggregate per pair. Rows with a null or NaN in any column are left out."""
+    assembler = VectorAssembler(inputCols=list(cols), outputCol="_x", handleInvalid="skip")
+    matrix = Correlation.corr(assembler.transform(df).select("_x"), "_x").first()[0].toArray()
+    rows = [(a, b, float(matrix[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+
+
 def _label_counts(df: DataFrame, cols: Sequence[str], label: str, labels: Sequence[int]) -> DataFrame:
     """(column, category, o0, o1, ...): rows per category and label, with the
     column's own totals n0, n1, ... and n. One shuffle, after partial counts."""

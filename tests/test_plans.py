@@ -3,6 +3,7 @@
 import io
 import re
 from contextlib import redirect_stdout
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from ontime.plans import cleaning_job, feature_job, flights, model_job
 from ontime.plans.flights import ROW_KEY
 from ontime.queries import QUERIES, stages
 from ontime.session import shared_folder, spread
-from ontime.sources import read_landing, write_zone
+from ontime.sources import landing_inventory, read_landing, write_zone
 
 
 def plan(df) -> str:
@@ -44,6 +45,13 @@ def test_later_files_are_not_opened(spark, sf_dir):
     assert splits("a") == 0 and splits("z") >= 2
 
 
+def test_inventory_lists_files_without_reading_them(spark, sf_dir):
+    table = landing_inventory(spark, sf_dir)
+    files = {r.file_name: r.size_bytes for r in table.collect()}
+    assert files == {p.name: p.stat().st_size for p in Path(sf_dir).glob("*.parquet")}
+    assert "content" not in re.search(r"ReadSchema: (.*)", plan(table)).group(1)
+
+
 def test_only_needed_columns_are_read(spark, sf_dir):
     text = plan(stages.raw(spark, sf_dir).groupBy("Month").count())
     assert re.search(r"ReadSchema: struct<Month:int>", text)

@@ -15,6 +15,7 @@ from ontime.operators import (
     columns_by_type,
     confusion_matrix,
     corr_matrix,
+    corr_matrix_wide,
     describe_numeric,
     distinct_count,
     drop_columns,
@@ -222,6 +223,15 @@ def test_correlation_of_a_line(spark):
     assert cells["a", "b"] == cells["b", "a"] == pytest.approx(-1.0)
 
 
+def test_wide_correlation_agrees_with_pairs(spark):
+    table = spark.range(200).select(
+        (F.col("id") % 7).alias("a"), (F.col("id") % 11 * 1.5).alias("b"), F.sqrt("id").alias("c")
+    )
+    pairs = {(r.a, r.b): r.r for r in corr_matrix(table, ["a", "b", "c"]).collect()}
+    wide = {(r.a, r.b): r.r for r in corr_matrix_wide(table, ["a", "b", "c"]).collect()}
+    assert wide == pytest.approx(pairs)
+
+
 def predictions(spark, rows):
     return spark.createDataFrame(rows, "label double, prediction double, score double")
 
