@@ -18,7 +18,6 @@ from pyspark.ml.linalg import Vector
 from pyspark.ml.param import Params
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ontime import config
 from ontime.functions import hash_bucket

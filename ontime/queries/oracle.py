@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ontime import config
-from ontime.operators.encode import index_name, vector_name
+from ontime.operators.encode import index_name, scaled_name, vector_name
 from ontime.plans.flights import ANSI_DAYS, ROW_KEY, TABLES, flights_sql
 from ontime.queries import stages, tables
 from ontime.queries.tables import CATEGORIES
@@ -315,6 +315,26 @@ PART_SIZES = query(
 )
 
 
+def _slot_names() -> str:
+    """One line per slot of the training vector: index, kind and name."""
+    parts = []
+    for i, c in enumerate(CATEGORIES):
+        offset = " + ".join(["0"] + [f"w{j}" for j in range(i)])
+        if c in config.STRING_CATEGORIES:
+            parts.append(f"SELECT {offset} + idx AS idx, 'binary' AS kind, '{vector_name(c)}_' || v AS name FROM rank_{c}, widths")
+            parts.append(f"SELECT {offset} + w{i} - 1, 'binary', '{vector_name(c)}___unknown' FROM widths")
+        else:
+            parts.append(
+                f"SELECT {offset} + s, 'binary', concat('{vector_name(c)}_', s) FROM (SELECT *, unnest(range(w{i})) AS s FROM widths)"
+            )
+    for k, c in enumerate(config.CONTINUOUS_COLUMNS):
+        offset = " + ".join(f"w{j}" for j in range(len(CATEGORIES)))
+        parts.append(f"SELECT {offset} + {k}, 'numeric', '{scaled_name(c)}_0' FROM widths")
+    body = f"SELECT CAST(idx AS INT) AS idx, kind, name FROM ({_union(parts)})"
+    extra = {"train": "SELECT * FROM parted WHERE part = 0", **_ranks("train"), **_width_table("train")}
+    return query("parted", body, extra)
+
+
 def _roc(bins: int, select: str) -> str:
     return query(
         "scored",
@@ -511,6 +531,7 @@ ORACLE = {
     "assemble_features": _vectors("train", "train"),
     "feature_pipeline": _vectors("featured", "featured"),
     "fit_transform_split": PART_SIZES,
+    "feature_names": _slot_names(),
     # Statistics
     "corr_matrix": query("model_input", _correlation()),
     "chi_square_category": query("featured", CHI_TABLE, _contingency([*CATEGORIES, *config.CONTINUOUS_COLUMNS])),

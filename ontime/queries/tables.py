@@ -58,7 +58,7 @@ from ontime.operators import (
     value_counts,
 )
 from ontime.operators.filters import at_least, has_values
-from ontime.plans import add_features, clean_flights, cleaning_job
+from ontime.plans import cleaning_job
 from ontime.plans.flights import ROW_KEY
 from ontime.queries import stages
 from ontime.session import new_folder
@@ -68,7 +68,6 @@ from ontime.sources import (
     read_cleaned,
     read_landing,
     write_chart,
-    write_zone,
 )
 
 CATEGORIES = [*config.STRING_CATEGORIES, *config.INTEGER_CATEGORIES]
