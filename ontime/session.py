@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,24 +10,18 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, else one below the warehouse.
 
-    Every executor has to see it, so on a cluster an unset value is an error;
-    only a local master falls back to a temporary folder.
+    Both are shared by all executors; no machine's own folder is used, whatever
+    the master.
     """
     context = spark.sparkContext
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if configured is None:
-        active = context.getCheckpointDir()
-        if active is None:
-            if not context.master.startswith("local"):
-                raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-            active = tempfile.mkdtemp(prefix="ontime-")
-            context.setCheckpointDir(active)
-        return active
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
+    if folder is None:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(configured)
-    return configured
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
