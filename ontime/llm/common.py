@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,3 +82,47 @@ def with_fields(schema: T.StructType, fields: list[tuple[str, T.DataType]]) -> T
 
 def append_columns(batch: pa.RecordBatch, arrays: list[pa.Array], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *names])
+
+
+# Fixed values of the rolling hash: an odd base, its inverse modulo 2^64, two odd multipliers.
+HASH_BASE = 0x9E3779B97F4A7C15
+HASH_INVERSE = pow(HASH_BASE, -1, 1 << 64)
+MIX_A, MIX_B = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base^0 .. base^(n-1) modulo 2^64, kept between calls."""
+    have = _powers.get(base)
+    if have is None or len(have) < n:
+        have = np.full(max(n, 1 << 16), base, np.uint64)
+        have[0] = 1
+        have = _powers[base] = np.multiply.accumulate(have)
+    return have[:n]
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit numbers, one to one."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(MIX_A)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(MIX_B)
+    return x ^ (x >> np.uint64(31))
+
+
+def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of data[start:end] for each run of bytes; equal bytes have
+    equal hashes wherever they stand."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(HASH_BASE, len(data)), out=sums[1:])
+    raw = (sums[ends] - sums[starts]) * powers(HASH_INVERSE, len(data) + 1)[starts]
+    return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(HASH_BASE))
+
+
+def segment_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of rows, ``counts`` rows each; empty runs give zeros."""
+    out = np.zeros((len(counts), *values.shape[1:]), np.float64)
+    full = np.flatnonzero(counts)
+    if len(full):
+        firsts = (np.cumsum(counts) - counts)[full]
+        out[full] = np.add.reduceat(values, firsts, axis=0, dtype=np.float64)
+    return out

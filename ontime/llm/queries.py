@@ -8,7 +8,15 @@ from pyspark.sql import functions as F
 
 from ontime.llm.bpe import decode_documents, encode_documents
 from ontime.llm.common import has_remainder, lacks_remainder, read_table
+from ontime.llm.exact_dedup import exact_groups
+from ontime.llm.language import identify_language
+from ontime.llm.line_dedup import drop_boilerplate
 from ontime.llm.packing import pack
+from ontime.llm.simhash import simhash_components
+from ontime.llm.url_filter import host_of, judge_urls
+
+# Fixed value: the sites whose URLs make the list of the URL filter.
+SPAM_SITE = r"(^|\.)(spam-farm|cheap-pills)\."
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -17,6 +25,24 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list: all URLs of the sites that are known for spam."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.filter(host_of(F.col("url")).rlike(SPAM_SITE))
+    return judge_urls(pages, listed).drop("url")
+
+
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = identify_language(documents, lacks_remainder("doc_id", 4, 2))
+    return out.select("doc_id", has_remainder("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return drop_boilerplate(pages).select("page_id", "host", "n_lines", "n_kept", "text")
+
+
 def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY)
     decoded = decode_documents(encoded.drop("text"), VOCABULARY)
@@ -28,9 +54,76 @@ def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(read_table(spark, sf_dir, "documents"))
+
+
+def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": packing,
+    "op2_url_filter": url_filter,
+    "op3_language_id": language,
+    "op6_line_dedup": line_dedup,
     "op8_bpe": bpe,
+    "op9_simhash": simhash,
+    "op10_exact_dedup": exact_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+# Equal texts, the smallest id of each group, and the digest of the normalised text.
+ORACLE: dict[str, str] = {
+    "op2_url_filter": r"""
+WITH u AS (
+ SELECT page_id,
+  translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path,
+  coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?', 3), '') AS query
+ FROM pages),
+q AS (
+ SELECT *, array_to_string(list_sort(list_filter(string_split(query, '&'),
+  lambda p: p <> '' AND NOT starts_with(p, 'utm_'))), '&') AS kept FROM u),
+c AS (
+ SELECT page_id, host, path, regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '')
+  || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END AS canonical FROM q),
+l AS (SELECT DISTINCT canonical FROM c WHERE regexp_matches(host, '(^|\.)(spam-farm|cheap-pills)\.') AND canonical <> ''),
+r AS (
+ SELECT c.*, l.canonical IS NOT NULL AS listed,
+  CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+   WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+   WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+   WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+ FROM c LEFT JOIN l USING (canonical))
+SELECT page_id, host, path, rule,
+ CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN listed THEN 'block' ELSE 'allow' END AS verdict, listed
+FROM r""",
+    "op6_line_dedup": r"""
+WITH p AS (
+ SELECT row_number() OVER () AS k, page_id,
+  translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  list_filter(list_transform(string_split(regexp_replace(regexp_replace(coalesce(html, ''),
+   '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', chr(10), 'g'),
+   '(?s)<[^>]*>', chr(10), 'g'), chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '') AS lines
+ FROM pages),
+t AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
+x AS (SELECT host, k, unnest(list_distinct(lines)) AS line FROM p),
+n AS (SELECT host, line, count(*) AS n FROM x GROUP BY host, line),
+b AS (SELECT host, list(line) AS common FROM n JOIN t USING (host) WHERE n >= 3 AND n > pages * 0.3 GROUP BY host),
+j AS (
+ SELECT p.*, list_filter(lines, lambda x: NOT list_contains(coalesce(common, []), x)) AS kept
+ FROM p LEFT JOIN b USING (host))
+SELECT page_id, host, len(lines) AS n_lines, len(kept) AS n_kept, array_to_string(kept, chr(10)) AS text FROM j""",
+    "op10_exact_dedup": r"""
+WITH d AS (
+ SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+ FROM documents),
+r AS (
+ SELECT *, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+  row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept
+ FROM d WINDOW g AS (PARTITION BY text_sha256))
+SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM r""",
+}
