@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from ontime.llm.bpe import decode_documents, encode_documents
 from ontime.llm.common import has_remainder, lacks_remainder, read_table
 from ontime.llm.exact_dedup import exact_groups
+from ontime.llm.interpolation import score_texts
 from ontime.llm.language import identify_language
 from ontime.llm.line_dedup import drop_boilerplate
 from ontime.llm.packing import pack
+from ontime.llm.quality import THRESHOLD, score_quality
 from ontime.llm.simhash import simhash_components
 from ontime.llm.url_filter import host_of, judge_urls
+from ontime.llm.vptree import nearest
 
 # Fixed value: the sites whose URLs make the list of the URL filter.
 SPAM_SITE = r"(^|\.)(spam-farm|cheap-pills)\."
@@ -38,6 +41,27 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", has_remainder("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = score_texts(documents, lacks_remainder("doc_id", 10, 0))
+    return out.withColumn("held_out", has_remainder("doc_id", 10, 0))
+
+
+def vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"))
+
+
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = score_quality(documents, read_table(spark, sf_dir, "labels"), lacks_remainder("doc_id", 4, 2))
+    return out.select(
+        "doc_id",
+        has_remainder("doc_id", 4, 2).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return drop_boilerplate(pages).select("page_id", "host", "n_lines", "n_kept", "text")
@@ -66,7 +90,10 @@ QUERIES = {
     "op1_packing": packing,
     "op2_url_filter": url_filter,
     "op3_language_id": language,
+    "op4_interpolation": interpolation,
+    "op5_vp_tree": vantage_points,
     "op6_line_dedup": line_dedup,
+    "op7_quality": quality,
     "op8_bpe": bpe,
     "op9_simhash": simhash,
     "op10_exact_dedup": exact_dedup,
@@ -100,6 +127,8 @@ SELECT page_id, host, path, rule,
  CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
   WHEN listed THEN 'block' ELSE 'allow' END AS verdict, listed
 FROM r""",
+    "op4_interpolation": interpolation,
+    "op5_vp_tree": vantage_points,
     "op6_line_dedup": r"""
 WITH p AS (
  SELECT row_number() OVER () AS k, page_id,
