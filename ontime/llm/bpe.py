@@ -2,8 +2,8 @@
 
 The last token of a prefix's encoding is unique, and the encoding of a prefix is
 the encoding of a shorter prefix followed by that token. So every trie node needs
-its last token and a link to the shorter prefix, both found once from the nodes
-above it, and words with a common prefix share all of that work.
+its last token only, found once from the nodes above it, and words with a common
+prefix share all of that work.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import sys
 from array import array
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,8 @@ from tokenizers import pre_tokenizers
 
 from ontime.llm.common import append_columns, slices, texts_of, with_fields
 
-# Nodes of a task's trie; a full trie is dropped and grown anew.
-MAX_NODES = 800_000
+# Words whose ids a task keeps; beyond it they are dropped and collected anew.
+MAX_WORDS = 600_000
 
 # Fixed value: the pre-tokenisation pattern of byte-level BPE.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -79,6 +80,7 @@ class Vocabulary:
             self.bytes_of[i] = piece
         for text, i in self.added.items():
             self.bytes_of[i] = text.encode()
+        self.length_of = [*map(len, self.bytes_of)]
         # rank: of a pair's merge. made, left, right: the merge that makes a token.
         self.rank: dict[int, int] = {}
         self.made, self.left, self.right = [-1] * self.size, [0] * self.size, [0] * self.size
@@ -101,7 +103,7 @@ class Vocabulary:
         """The words of a text in order; an added token as its id. The careful
         pattern is slower and right for unknown letters too."""
         pattern = self.careful if careful else self.words
-        if self.special is None or not self.special.search(text):
+        if not any(a in text for a in self.added):
             return pattern.findall(text)
         out: list[str | int] = []
         for part in self.special.split(text):
@@ -130,80 +132,80 @@ class Vocabulary:
 
 
 class Trie:
-    """Words by their bytes, with each prefix's last token and the prefix before it."""
+    """Encodes words along the trie of their bytes and keeps their ids.
 
-    def __init__(self, vocabulary: Vocabulary, max_nodes: int = MAX_NODES):
-        self.vocabulary, self.max_nodes = vocabulary, max_nodes
-        self.encoded: dict[str | int, bytes] = {}
-        self.apart: dict[int, bool] = {}
-        self.clear()
-
-    def clear(self) -> None:
-        self.child: dict[int, int] = {}
-        self.token, self.before = array("i", [0]), array("i", [0])
-        self.encoded.clear()
-        self.apart.clear()
+    Distinct words in byte order are the leaves of their trie in depth-first
+    order. The branch to the word at hand is a stack with the last token of every
+    prefix on it; the next word goes back to where it leaves that branch and adds
+    the rest, so a prefix that words share is encoded once.
+    """
 
-    def grow(self, word: bytes, path: list[int], depth: int) -> int:
-        """A new node for the first ``depth`` bytes; path holds the nodes above.
+    def __init__(self, vocabulary: Vocabulary, max_words: int = MAX_WORDS):
+        self.vocabulary, self.max_words = vocabulary, max_words
+        self.known: dict[str | int, bytes] = {i: array("I", [i]).tobytes() for i in vocabulary.added.values()}
+        self.apart: dict[int, bool] = {}
 
-        Exactly one token can come last, so the lengths may be tried in any
-        order: first the last token of the node above with one more byte, which
-        is right most often.
-        """
-        v, tokens, apart = self.vocabulary, self.token, self.apart
-        longer = depth - path.index(self.before[path[-1]]) if depth > 1 else 1
-        for length in (longer, *range(1, min(depth, v.longest) + 1)):
-            token = v.id_of.get(word[depth - length : depth])
-            if token is None:
-                continue
-            above = path[depth - length]
-            if above:
-                pair = tokens[above] * v.size + token
-                ok = apart.get(pair)
-                if ok is None:
-                    ok = apart[pair] = v.stay_apart(tokens[above], token)
-                if not ok:
-                    continue
-            tokens.append(token)
-            self.before.append(above)
-            return len(tokens) - 1
-        raise ValueError(f"no token for byte {word[depth - 1]}")
-
-    def encode_word(self, word: str) -> bytes:
-        """The word's ids as unsigned 32-bit little-endian numbers."""
-        data, path, node, child = word.encode(), [0], 0, self.child
-        for byte in data:
-            key = node << 8 | byte
-            node = child.get(key)
-            if node is None:
-                node = child[key] = self.grow(data, path, len(path))
-            path.append(node)
-        ids, token, before = array("I"), self.token, self.before
-        while node:
-            ids.append(token[node])
-            node = before[node]
-        ids.reverse()
-        return ids.tobytes()
+    def insert(self, words: list[str]) -> None:
+        v, apart, known = self.vocabulary, self.apart, self.known
+        id_of, size, longest, length_of = v.id_of, v.size, v.longest, v.length_of
+        last, before = [0], b""  # last token of each prefix of the word before
+        for data, word in sorted((w.encode(), w) for w in words):
+            common = 0
+            for x, y in zip(before, data):
+                if x != y:
+                    break
+                common += 1
+            del last[common + 1 :]
+            for depth in range(common + 1, len(data) + 1):
+                # Exactly one token can come last, so the lengths may be tried in
+                # any order: first the one before with one more byte, which is
+                # right most often.
+                longer = length_of[last[-1]] + 1 if depth > 1 else 1
+                for length in (longer, *range(1, depth + 1 if depth < longest else longest + 1)):
+                    token = id_of.get(data[depth - length : depth])
+                    if token is None:
+                        continue
+                    if length < depth:
+                        left = last[depth - length]
+                        pair = left * size + token
+                        ok = apart.get(pair)
+                        if ok is None:
+                            ok = apart[pair] = v.stay_apart(left, token)
+                        if not ok:
+                            continue
+                    last.append(token)
+                    break
+                else:
+                    raise ValueError(f"no token for byte {data[depth - 1]}")
+            ids, depth = array("I"), len(data)
+            while depth:
+                token = last[depth]
+                ids.append(token)
+                depth -= length_of[token]
+            ids.reverse()
+            known[word] = ids.tobytes()
+            before = data
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as unsigned 32-bit little-endian numbers."""
+        v, known = self.vocabulary, self.known
+        split = [v.split(t) for t in texts]
+        new = set(chain.from_iterable(split)).difference(known)
+        odd = v.unknown.search("".join(w for w in new if not w.isascii()))
+        if odd:
+            split = [v.split(t, careful=True) if not t.isascii() and v.unknown.search(t) else w for t, w in zip(texts, split, strict=True)]
+            new = set(chain.from_iterable(split)).difference(known)
+        self.insert(list(new))
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        if odd:  # words with such letters are not kept, so that they are met as new again
+            for word in [w for w in new if v.unknown.search(w)]:
+                del known[word]
+        if len(known) > self.max_words:
+            self.__init__(v, self.max_words)
+        return out
 
     def encode(self, text: str) -> bytes:
-        known, words = self.encoded, self.vocabulary.split(text)
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            new = {w for w in words if w not in known}
-        if self.vocabulary.unknown.search("".join(w for w in new if isinstance(w, str) and not w.isascii())):
-            words = self.vocabulary.split(text, careful=True)
-            new = {w for w in words if w not in known}
-        for word in new:
-            known[word] = array("I", [word]).tobytes() if isinstance(word, int) else self.encode_word(word)
-        out = b"".join(map(known.__getitem__, words))
-        # What holds unknown letters is not kept, so that it is met as new again.
-        for word in [w for w in new if isinstance(w, str) and self.vocabulary.unknown.search(w)] if not text.isascii() else ():
-            del known[word]
-        if len(self.token) > self.max_nodes:
-            self.clear()
-        return out
+        return self.encode_all([text])[0]
 
 
 @cache
@@ -235,7 +237,7 @@ def encode_documents(df: DataFrame, vocabulary_path: str, text: str = "text", id
         trie = Trie(vocabulary_of(*content.value))
         for batch in batches:
             for part in slices(batch, text):
-                yield append_columns(part, [id_arrays([trie.encode(t) for t in texts_of(part, text)])], [ids])
+                yield append_columns(part, [id_arrays(trie.encode_all(texts_of(part, text)))], [ids])
 
     return df.mapInArrow(run, with_fields(df.schema, [(ids, T.ArrayType(T.IntegerType()))]))
 
@@ -246,22 +248,22 @@ def decode_documents(df: DataFrame, vocabulary_path: str, ids: str = "ids", text
     content = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = dict(enumerate(vocabulary_of(*content.value).bytes_of))
+        pieces = vocabulary_of(*content.value).bytes_of
+        flat = np.frombuffer(b"".join(pieces), np.uint8)
+        sizes = np.array([*map(len, pieces), 0])  # the last one for ids that are unknown
+        firsts = np.cumsum(sizes) - sizes
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 lists = part.column(ids)
-                values = lists.flatten().to_pylist()
-                lengths = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_pylist()
-                out, start_of = [], 0
-                for length in lengths:
-                    own = values[start_of : start_of + length]
-                    start_of += length
-                    try:
-                        data = b"".join(map(pieces.__getitem__, own))
-                    except KeyError:
-                        data = b"".join(pieces.get(i, b"") for i in own)
-                    out.append(data.decode("utf-8", "replace"))
+                own = pa.compute.fill_null(lists.flatten(), -1).to_numpy()
+                own = np.where((own >= 0) & (own < len(pieces)), own, len(pieces))
+                counts = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy()
+                length = sizes[own]
+                after = np.cumsum(length)
+                data = flat[np.arange(length.sum()) + np.repeat(firsts[own] - (after - length), length)].tobytes()
+                ends = np.concatenate([[0], after])[np.cumsum(counts)].tolist()
+                out = [data[a:b].decode("utf-8", "replace") for a, b in zip([0, *ends[:-1]], ends, strict=True)]
                 yield append_columns(part, [pa.array(out, pa.string())], [text])
 
     return df.mapInArrow(run, with_fields(df.schema, [(text, T.StringType())]))

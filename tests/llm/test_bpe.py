@@ -19,7 +19,7 @@ def ids_of(trie, text):
 
 
 def test_random_texts_match_the_library(library):
-    trie = Trie(Vocabulary(*read_vocabulary(VOCABULARY)), max_nodes=500)
+    trie = Trie(Vocabulary(*read_vocabulary(VOCABULARY)), max_words=500)
     random.seed(1)
     letters = "aab bcé漢😀 \n\t  .,!!<|endoftext|>'s've1239՘Ᲊ꟎\u0085　 thehanerinon"
     for i in range(3000):
