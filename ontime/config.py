@@ -90,7 +90,6 @@ UNENCODED_COLUMNS = [
 # Split, grid and model settings.
 SPLIT_WEIGHTS = (0.7, 0.3)
 SEED = 42
-SPLIT_BUCKETS = 1000
 FOLDS = 3
 GRID_MAX_ITER = 5
 REG_PARAMS = [0.0, 0.3, 0.6, 1.0]

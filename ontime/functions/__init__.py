@@ -1,6 +1,8 @@
 from ontime.functions.columns import (
     drop_nan,
     hash_bucket,
+    key_hash,
+    share_limit,
     hour_from_hhmm,
     is_missing,
     is_parquet,
@@ -15,6 +17,8 @@ from ontime.functions.columns import (
 __all__ = [
     "drop_nan",
     "hash_bucket",
+    "key_hash",
+    "share_limit",
     "hour_from_hhmm",
     "is_missing",
     "is_parquet",

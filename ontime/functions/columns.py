@@ -35,8 +35,8 @@ def season(month: Column) -> Column:
 
 
 def late_label(minutes: Column, threshold: float = config.LATE_MINUTES) -> Column:
-    """1 if strictly later than ``threshold`` minutes, else 0 (also for null)."""
-    return F.when(minutes > threshold, 1).otherwise(0)
+    """1 if strictly later than ``threshold`` minutes, else 0 (also for null and NaN)."""
+    return F.when((minutes > threshold) & ~F.isnan(minutes.cast("double")), 1).otherwise(0)
 
 
 def is_missing(column: Column, data_type: str) -> Column:
@@ -67,6 +67,22 @@ def hash_bucket(keys: list[str], seed: int | str, buckets: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % buckets
 
 
+# Key hashes are compared as whole numbers of this many bits, never in buckets,
+# so shares of any size come out.
+HASH_BITS = 60
+
+
+def key_hash(keys: list[str], seed: int | str) -> Column:
+    """A number below 2^60 that depends on the key values and the seed only."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("bigint")
+
+
+def share_limit(share: float) -> int:
+    """The bound below which a share of all key hashes lies."""
+    return int(share * (1 << HASH_BITS))
+
+
 def logistic(weights: dict[str, float], intercept: float) -> Column:
     """Probability from a linear score with the given weights."""
     terms = [F.lit(w) * F.col(c) for c, w in weights.items()]

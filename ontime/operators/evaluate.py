@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import add
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, Window
@@ -18,9 +19,16 @@ def _cell(label: int, prediction: int) -> Column:
 
 def _cells(predictions: DataFrame) -> DataFrame:
     """One row: tn, fp, fn, tp. Four counters per task, no shuffle of rows."""
-    return predictions.agg(
-        _cell(0, 0).alias("tn"), _cell(0, 1).alias("fp"), _cell(1, 0).alias("fn"), _cell(1, 1).alias("tp")
+    names = ["tn", "fp", "fn", "tp"]
+    cells = predictions.agg(
+        F.count("*").alias("n"),
+        *[_cell(i // 2, i % 2).alias(name) for i, name in enumerate(names)],
     )
+    # Every row has to be in a cell: another label or prediction, or a null, is an error.
+    inside = reduce(add, [F.col(name) for name in names]) == F.col("n")
+    message = F.lit("labels and predictions have to be 0 or 1")
+    checked = [F.when(inside, F.col(name)).otherwise(F.raise_error(message).cast("bigint")).alias(name) for name in names]
+    return cells.select(*checked)
 
 
 def confusion_matrix(predictions: DataFrame) -> DataFrame:
@@ -51,12 +59,13 @@ def auc(predictions: DataFrame, raw: str = "rawPrediction", label: str = "label"
 
 
 def _class_counts(predictions: DataFrame, score: str | Column, label: str) -> DataFrame:
+    """(score, pos, neg); a label that is not 0 or 1 or a null score is an error."""
     value = F.col(score) if isinstance(score, str) else score
-    return predictions.select(
-        value.alias("score"),
-        (F.col(label) == 1).cast("bigint").alias("pos"),
-        (F.col(label) == 0).cast("bigint").alias("neg"),
-    ).filter(F.col("score").isNotNull())
+    wrong = F.raise_error(F.lit("labels have to be 0 or 1 and scores known"))
+    known = F.when(value.isNotNull() & F.col(label).isin(0, 1), F.col(label) == 1).otherwise(wrong.cast("boolean"))
+    return predictions.select(value.alias("score"), known.alias("late")).select(
+        "score", F.col("late").cast("bigint").alias("pos"), (~F.col("late")).cast("bigint").alias("neg")
+    )
 
 
 def auc_exact(predictions: DataFrame, score: str = "score", label: str = "label") -> DataFrame:

@@ -10,9 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime import config
-from ontime.functions import hash_bucket, is_missing
-
-SAMPLE_BUCKETS = 10_000
+from ontime.functions import is_missing, key_hash, share_limit
 
 
 def has_values(df: DataFrame, subset: Sequence[str] | None = None) -> Column:
@@ -83,5 +81,4 @@ def sample_rows(
     is the same after any repartitioning; without one Spark draws per partition."""
     if key is None:
         return df.sample(withReplacement=False, fraction=fraction, seed=seed)
-    limit = round(fraction * SAMPLE_BUCKETS)
-    return df.filter(hash_bucket(list(key), seed, SAMPLE_BUCKETS) < limit)
+    return df.filter(key_hash(list(key), seed) < share_limit(fraction))

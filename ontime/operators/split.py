@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ontime import config
-from ontime.functions import hash_bucket, logistic
-
-SCORE_DIGITS = 12
+from ontime.functions import key_hash, logistic, share_limit
 
 
 def assign_parts(
@@ -25,11 +23,11 @@ def assign_parts(
     It depends on the row's key alone: no shuffle, and the same after any
     repartitioning, retry or rerun.
     """
-    bucket = hash_bucket(list(keys), seed, config.SPLIT_BUCKETS)
+    hashed = key_hash(list(keys), seed)
     part, passed = F, 0.0
     for number, weight in enumerate(weights[:-1]):
         passed += weight
-        part = part.when(bucket < round(passed / sum(weights) * config.SPLIT_BUCKETS), number)
+        part = part.when(hashed < share_limit(passed / sum(weights)), number)
     last = len(weights) - 1
     return df.withColumn(out, part.otherwise(last) if last else F.lit(0))
 
@@ -56,11 +54,6 @@ def random_split(
 def score_linear(
     df: DataFrame, weights: dict[str, float], intercept: float = 0.0, threshold: float = 0.5
 ) -> DataFrame:
-    """Add the logistic ``probability`` and 0/1 ``prediction`` of given weights.
-
-    The probability keeps 12 decimals: equal scores then tie whatever order the
-    terms were added in and whichever platform computed the exponential, which
-    matters to rank measures such as the area under ROC.
-    """
-    scored = df.withColumn("probability", F.round(logistic(weights, intercept), SCORE_DIGITS))
+    """Add the logistic ``probability`` and 0/1 ``prediction`` of given weights."""
+    scored = df.withColumn("probability", logistic(weights, intercept))
     return scored.withColumn("prediction", F.when(F.col("probability") > threshold, 1.0).otherwise(0.0))

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from ontime.functions import drop_nan, unsigned_zero
 from ontime.operators.encode import FEATURES, feature_names, vector_name
 
+# A test has a counter per label.
+MAX_LABELS = 100
+
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(a, b, r): Pearson correlation of every pair, all in one pass; each pair
@@ -43,6 +46,14 @@ def corr_matrix_wide(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
+def label_values(df: DataFrame, label: str) -> list:
+    """The labels there are, in order; nulls are no label."""
+    found = df.select(label).filter(F.col(label).isNotNull()).distinct().limit(MAX_LABELS + 1).collect()
+    if len(found) > MAX_LABELS:
+        raise ValueError(f"{label} has more than {MAX_LABELS} values: not a class label")
+    return sorted(row[0] for row in found)
+
+
 def _label_counts(df: DataFrame, cols: Sequence[str], label: str, labels: Sequence[int]) -> DataFrame:
     """(column, category, o0, o1, ...): rows per category and label, with the
     column's own totals n0, n1, ... and n. One shuffle, after partial counts."""
@@ -83,12 +94,13 @@ def _used_labels(labels: Sequence[int]) -> Column:
 
 
 def chi_square_table(
-    df: DataFrame, cols: Sequence[str], label: str = "label", labels: Sequence[int] = (0, 1)
+    df: DataFrame, cols: Sequence[str], label: str = "label", labels: Sequence[int] | None = None
 ) -> DataFrame:
     """(column, statistic, dof): independence of each raw column and the label.
 
     Works from category counts, so a column may have any number of categories.
     """
+    labels = label_values(df, label) if labels is None else labels
     counts = _label_counts(df, cols, label, labels)
     cells = reduce(
         add, [_cell(F.col(f"o{i}"), _row(labels), F.col(f"n{i}"), F.col("n")) for i in range(len(labels))]
@@ -98,10 +110,11 @@ def chi_square_table(
 
 
 def chi_square_onehot(
-    df: DataFrame, cols: Sequence[str], label: str = "label", labels: Sequence[int] = (0, 1)
+    df: DataFrame, cols: Sequence[str], label: str = "label", labels: Sequence[int] | None = None
 ) -> DataFrame:
     """(feature, statistic, dof): the test of each category's 0/1 slot, from the
     same counts and without building vectors."""
+    labels = label_values(df, label) if labels is None else labels
     counts = _label_counts(df, cols, label, labels)
     inside = _row(labels)
     outside = F.col("n") - inside

@@ -10,8 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ontime.session import spread
-
 ROW_KEY = "RowKey"
 TABLES = ("lineitem", "orders", "customer", "supplier", "nation", "region")
 
@@ -103,5 +101,4 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     its size threshold and otherwise sorts, splitting skewed partitions.
     """
     tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TABLES}
-    tables["lineitem"] = spread(tables["lineitem"])
     return spark.sql(flights_sql(SPARK_DAYS, {n: f"{{{n}}}" for n in TABLES}), **tables)

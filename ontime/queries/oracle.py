@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ontime import config
+from ontime.functions import share_limit
 from ontime.operators.encode import index_name, scaled_name, vector_name
 from ontime.plans.flights import ANSI_DAYS, ROW_KEY, TABLES, flights_sql
 from ontime.queries import stages, tables
@@ -47,6 +48,10 @@ def _bucket(seed: object, buckets: int) -> str:
     return f"CAST('0x' || substr(md5('{seed}|' || {KEY}), 1, 8) AS BIGINT) % {buckets}"
 
 
+def _hash(seed: object) -> str:
+    return f"CAST('0x' || substr(md5('{seed}|' || {KEY}), 1, 15) AS BIGINT)"
+
+
 def _not_null(columns: list[str]) -> str:
     return " AND ".join(f"{c} IS NOT NULL" for c in columns)
 
@@ -69,7 +74,7 @@ STEPS = {
     "featured": f"""SELECT {KEY}, {_names([c for c in FEATURE_COLUMNS if c not in ('ScheduledArrTimeOfDay', 'ScheduledDepTimeOfDay', 'Season')])},
         {_time_of_day('CRSArrTime')} AS ScheduledArrTimeOfDay, {_time_of_day('CRSDepTime')} AS ScheduledDepTimeOfDay,
         {SEASON} AS Season FROM model_input""",
-    "parted": f"""SELECT *, CASE WHEN {_bucket(config.SEED, config.SPLIT_BUCKETS)} < 700 THEN 0 ELSE 1 END AS part FROM featured""",
+    "parted": f"""SELECT *, CASE WHEN {_hash(config.SEED)} < {share_limit(0.7)} THEN 0 ELSE 1 END AS part FROM featured""",
     "scored": f"""SELECT *, CASE WHEN probability > 0.5E0 THEN 1.0E0 ELSE 0.0E0 END AS prediction FROM
         (SELECT *, round(1.0E0 / (1.0E0 + exp(-({_score}))), 12) AS probability FROM featured)""",
 }
@@ -399,7 +404,7 @@ ORACLE = {
     "filter_actual_elapsed": query("flights", f"SELECT {KEY}, ActualElapsedTime FROM flights WHERE ActualElapsedTime >= 0"),
     "filter_crs_elapsed": query("flights", f"SELECT {KEY}, CRSElapsedTime FROM flights WHERE CRSElapsedTime >= 0"),
     "count_zero_delay": query("model_input", "SELECT count(*) AS n_zero_delay FROM model_input WHERE ArrDelayMinutes = 0"),
-    "sample_rows": query("flights", f"SELECT {KEY}, Airline, Distance FROM flights WHERE {_bucket(config.SEED, 10000)} < 1000"),
+    "sample_rows": query("flights", f"SELECT {KEY}, Airline, Distance FROM flights WHERE {_hash(config.SEED)} < {share_limit(0.1)}"),
     "clean_flights": query("cleaned", _no_dates("cleaned")),
     "clean_for_model": query("model_input", _no_dates("model_input")),
     "row_count_audit": query(

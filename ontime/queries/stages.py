@@ -64,7 +64,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw flight records from the landing folder: 44 columns and RowKey."""
 
     def land() -> DataFrame:
-        view = flights(spark, sf_dir)
+        view = flights(spark, sf_dir).repartition(ROW_KEY)
         path = write_zone(view, work_folder(spark, sf_dir), "landing")
         return read_landing(spark, path, schema=view.schema, tag_source=False)
 
@@ -91,7 +91,10 @@ def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_linear(featured(spark, sf_dir), SCORE_WEIGHTS, SCORE_INTERCEPT)
+    """Scores at 12 decimals: equal ones then tie whatever order the terms were
+    added in and whichever platform computed the exponential."""
+    table = score_linear(featured(spark, sf_dir), SCORE_WEIGHTS, SCORE_INTERCEPT)
+    return table.withColumn("probability", F.round("probability", 12))
 
 
 def features_root(spark: SparkSession, sf_dir: str) -> str:

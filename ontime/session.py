@@ -29,16 +29,6 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small scan out to every core.
-
-    A single Parquet row group is read by one task, however many cores wait. A
-    scan that already has a split per core is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once in the shared folder (survives lost executors)."""
     shared_folder(df.sparkSession)

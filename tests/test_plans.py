@@ -13,7 +13,7 @@ from ontime.operators import feature_names, rows_with_nulls
 from ontime.plans import cleaning_job, feature_job, flights, model_job
 from ontime.plans.flights import ROW_KEY
 from ontime.queries import QUERIES, stages
-from ontime.session import shared_folder, spread
+from ontime.session import shared_folder
 from ontime.sources import landing_inventory, read_landing, write_zone
 
 
@@ -80,12 +80,6 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_spread_leaves_wide_scans_alone(spark):
-    wide = spark.range(0, 100, 1, 64)
-    assert spread(wide) is wide
-    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 8
-
-
 def test_jobs_from_landing_to_models(spark, sf_dir, tmp_path):
     root = str(tmp_path)
     write_zone(flights(spark, sf_dir).repartition(3), root, "landing")
