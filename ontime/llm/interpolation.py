@@ -98,6 +98,17 @@ class Chunk:
         return n[place]
 
 
+def by_chunk(df: DataFrame) -> str:
+    """Write a table in buckets by chunk and return its name."""
+    spark = df.sparkSession
+    # A database in the shared folder, so that dropping the table removes its files.
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS llm_scratch LOCATION '{new_folder(spark, 'llm_scratch')}'")
+    name = f"llm_scratch.chunks_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, "chunk").option("compression", "zstd").saveAsTable(name)
+    return name
+
+
 def chunks(df: DataFrame, doc_id: str, text: str, learn: Column) -> str:
     """One row per chunk: its documents and tokens. Written in buckets by chunk,
     so that answers find their chunk without moving it; returns the table's name."""
@@ -124,19 +135,13 @@ def chunks(df: DataFrame, doc_id: str, text: str, learn: Column) -> str:
                 )
                 number += 1
 
-    spark = df.sparkSession
     kind = df.schema[doc_id].dataType.simpleString()
     rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
     table = rows.mapInArrow(
         run, f"chunk long, doc_ids array<{kind}>, learned binary, counts binary, names binary, codes binary, "
         "tokens long, learned_tokens long"
     )
-    # A database in the shared folder, so that dropping the table removes its files.
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS llm_scratch LOCATION '{new_folder(spark, 'llm_scratch')}'")
-    name = f"llm_scratch.chunks_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table.write.bucketBy(buckets, "chunk").option("compression", "zstd").saveAsTable(name)
-    return name
+    return by_chunk(table)
 
 
 def chunk_of(row: dict) -> Chunk:
@@ -151,6 +156,17 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {n: batch.column(n)[i].as_py() for n in batch.schema.names}
 
 
+def packed(names: np.ndarray) -> bytes:
+    """Rising numbers as gaps, first bytes first: the high bytes of the gaps are
+    nearly all zero, which shuffle compression takes out."""
+    return np.diff(names, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(blob, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
 def ask(table: DataFrame, shards: int) -> DataFrame:
     """(shard, kind, chunk, hashes, counts): a chunk's distinct words and bigrams by
     hash range, with how often its learned documents have them."""
@@ -169,7 +185,7 @@ def ask(table: DataFrame, shards: int) -> DataFrame:
                         pa.array(met, pa.int64()),
                         pa.array([kind] * len(met), pa.string()),
                         pa.array([row["chunk"]] * len(met), pa.int64()),
-                        pa.array([names[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()),
+                        pa.array([packed(names[a:b]) for a, b in zip(first, ends, strict=True)], pa.binary()),
                         pa.array([small[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()),
                     ],
                     names=["shard", "kind", "chunk", "hashes", "counts"],
@@ -183,7 +199,7 @@ def answer(asked: DataFrame) -> DataFrame:
     """(chunk, kind, shard, totals, types): the counts over all chunks, in the order asked."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        names = [np.frombuffer(b, np.uint64) for b in pdf["hashes"]]
+        names = [unpacked(b) for b in pdf["hashes"]]
         counts = np.concatenate([np.frombuffer(b, "<u4") for b in pdf["counts"]]).astype(np.int64)
         distinct, place = np.unique(np.concatenate(names), return_inverse=True)
         totals = np.bincount(place, weights=counts, minlength=len(distinct)).astype(np.int64)
@@ -203,14 +219,14 @@ def answer(asked: DataFrame) -> DataFrame:
     return asked.groupBy("kind", "shard").applyInPandas(run, schema)
 
 
-def joined(table: DataFrame, answers: DataFrame) -> DataFrame:
-    """Each chunk with its answers; the chunks stay in their buckets."""
+def per_chunk(answers: DataFrame) -> DataFrame:
+    """(chunk, word_totals, pair_totals, types): a chunk's answers in the order of its hashes."""
     parts = F.struct("shard", "width", "totals")
-    own = answers.groupBy("chunk").agg(
+    return answers.groupBy("chunk").agg(
         F.array_sort(F.collect_list(F.when(F.col("kind") == "w", parts))).alias("word_totals"),
         F.array_sort(F.collect_list(F.when(F.col("kind") == "p", parts))).alias("pair_totals"),
+        F.sum(F.when(F.col("kind") == "w", F.col("types"))).alias("types"),
     )
-    return table.join(own.hint("shuffle_hash"), "chunk")
 
 
 def totals_of(parts: list[dict]) -> np.ndarray:
@@ -296,12 +312,12 @@ def score_texts(df: DataFrame, learn: Column, doc_id: str = "doc_id", text: str
     table = spark.table(name)
     size = table.agg(F.count("*"), F.sum("tokens"), F.sum("learned_tokens")).first()
     shards = max(1, -(-int(size[1] or 0) // SHARD_HASHES))
-    answers = materialise(answer(ask(table, shards)), "answers")
-    types = answers.groupBy("kind").agg(F.sum("types").alias("n")).filter("kind = 'w'").first()
-    vocabulary = int(types["n"]) if types else 0
+    answers = by_chunk(per_chunk(answer(ask(table, shards))))
+    vocabulary = int(spark.table(answers).agg(F.sum("types")).first()[0] or 0)
 
     total = int(size[2] or 0)
-    full = joined(table, answers)
+    # Both tables lie in the same buckets: neither is shuffled.
+    full = table.join(spark.table(answers).drop("types").hint("shuffle_hash"), "chunk")
     uniform = 1 / (vocabulary + 1)
     weights = learn_weights(deleted_counts(full, total), uniform)
     shared = spark.sparkContext.broadcast(weights)
@@ -332,6 +348,7 @@ def score_texts(df: DataFrame, learn: Column, doc_id: str = "doc_id", text: str
     id_type = df.schema[doc_id].dataType
     schema = f"doc_id {id_type.simpleString()}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     scores = materialise(full.drop("tokens", "learned_tokens").mapInArrow(run, schema), "scores")
-    spark.sql(f"DROP TABLE {name}")
+    for done in (name, answers):
+        spark.sql(f"DROP TABLE {done}")
     return scores
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ontime.llm.common import materialise
 
 NEIGHBOURS = 5
-LEAF = 64
+LEAF = 256
 # One is exact.
 FACTOR = 1.0
 # Vectors per shard and queries per block, about.
@@ -82,7 +82,8 @@ def search(unit: np.ndarray, nodes: np.ndarray, order: np.ndarray, queries: np.n
             active, far = active[better], far[better]
             both = np.concatenate([best[active], far], axis=1)
             names = np.concatenate([rows[active], np.broadcast_to(order[start:end], far.shape)], axis=1)
-            pick = np.argsort(both, axis=1, kind="stable")[:, :m]
+            pick = np.argpartition(both, m - 1, axis=1)[:, :m] if both.shape[1] > m else np.argsort(both, axis=1)
+            pick = np.take_along_axis(pick, np.argsort(np.take_along_axis(both, pick, axis=1), axis=1), axis=1)
             best[active] = np.take_along_axis(both, pick, axis=1)
             rows[active] = np.take_along_axis(names, pick, axis=1)
             continue
