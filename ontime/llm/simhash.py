@@ -202,7 +202,8 @@ def drop_near_copies(
     """The rows of ``df`` that stay, one of each component, all columns: the
     smallest id (null ids last), then the smallest text."""
     fp, rows = free_name(df, "fp"), free_name(df, "rows")
-    tagged = with_fingerprints(df, text, shingle, fp)
+    # Written: the texts are hashed once, though the rows are read three times.
+    tagged = materialise(with_fingerprints(df, text, shingle, fp), "tagged")
     counts = materialise(tagged.groupBy(F.col(fp).alias("fp")).agg(F.count("*").alias("n")), "fingerprints")
     reached = components(near_links(counts.select("fp"), max_bits))
     rooted = counts.join(reached.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
