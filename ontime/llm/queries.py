@@ -127,8 +127,6 @@ SELECT page_id, host, path, rule,
  CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
   WHEN listed THEN 'block' ELSE 'allow' END AS verdict, listed
 FROM r""",
-    "op4_interpolation": interpolation,
-    "op5_vp_tree": vantage_points,
     "op6_line_dedup": r"""
 WITH p AS (
  SELECT row_number() OVER () AS k, page_id,
