@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from test_queries import plain_components, plain_fingerprint
+from test_llm_queries import plain_components, plain_fingerprint
 
 import corpus_pipeline
 from ontime.llm.common import lacks_remainder
