@@ -7,10 +7,11 @@ from functools import reduce
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ontime import config
+from ontime.functions import hash_bucket
 from ontime.operators import (
     auc,
     auc_exact,
@@ -130,28 +131,154 @@ def model_round_trip(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def prediction_rows(df: DataFrame) -> DataFrame:
-    return df.select(
-        ROW_KEY, "label", vector_to_array("rawPrediction")[1].alias("raw_score"),
-        vector_to_array("probability")[1].alias("probability"), "prediction",
+# Fitted numbers differ between engines, so these queries return what the fit has to satisfy.
+
+
+def fold_sizes(train: DataFrame) -> Column:
+    """Rows and late rows of each cross-validation fold, as one text."""
+    fold = hash_bucket([ROW_KEY], f"fold {config.SEED}", config.FOLDS)
+    sizes = train.groupBy(fold.alias("fold")).agg(F.count("*").alias("n"), F.sum(F.col("label").cast("bigint")).alias("late"))
+    # One row per fold.
+    return F.lit("|".join(f"{r.fold}:{r.n}:{r.late}" for r in sizes.orderBy("fold").collect()))
+
+
+def linear_score(model: LogisticRegressionModel, features: Column) -> Column:
+    """The dot product with the coefficients, plus the intercept."""
+    weights = F.array(*[F.lit(float(w)) for w in model.coefficients.toArray()])
+    terms = F.zip_with(features, weights, lambda x, w: x * w)
+    return F.aggregate(terms, F.lit(float(model.intercept)), lambda total, term: total + term)
+
+
+def balanced_slots(spark: SparkSession, d: str) -> DataFrame:
+    """(idx, n_rows, n_late, balanced) per 0/1 slot that has training rows.
+
+    At the unregularised optimum the mean probability of the rows of a slot is
+    their share of late ones.
+    """
+    train = stages.trusted(spark, d)[0]
+    scored = with_score(predict(stages.logistic(spark, d), train))
+    slots = scored.select("label", "score", F.posexplode(vector_to_array(FEATURES)).alias("idx", "value"))
+    binary = vector_width(train, FEATURES) - len(config.CONTINUOUS_COLUMNS)
+    sums = slots.filter((F.col("value") != 0) & (F.col("idx") < binary)).groupBy("idx").agg(
+        F.count("*").alias("n_rows"),
+        F.sum(F.col("label").cast("bigint")).alias("n_late"),
+        F.avg("score").alias("mean_score"),
+    )
+    balanced = F.abs(F.col("mean_score") - F.col("n_late") / F.col("n_rows")) < 1e-4
+    return sums.select("idx", "n_rows", "n_late", balanced.alias("balanced"))
+
+
+def finite(column: str) -> Column:
+    return (F.abs(column) < float("inf")).alias("finite")
+
+
+def baseline_coefficients(spark: SparkSession, d: str) -> DataFrame:
+    return coefficients(stages.logistic(spark, d)).select("idx", finite("coefficient"))
+
+
+def baseline_named_coefficients(spark: SparkSession, d: str) -> DataFrame:
+    named = named_coefficients(stages.logistic(spark, d), stages.trusted(spark, d)[0])
+    return named.select("idx", "name", finite("coefficient"))
+
+
+def tuned_top_bottom(spark: SparkSession, d: str) -> DataFrame:
+    """The ten largest and smallest tuned coefficients: side, rank and whether the
+    value is the one that rank has among all slots."""
+    named = named_coefficients(stages.search(spark, d).bestModel.stages[0], stages.trusted(spark, d)[0])
+    # At most one value per slot of the vector.
+    values = sorted(r.coefficient for r in named.select("coefficient").collect())
+    order = {"top": values[::-1], "bottom": values}
+    picked = top_bottom(named, "coefficient", 10, "name").withColumn(
+        "rank",
+        F.row_number().over(
+            Window.partitionBy("side").orderBy(F.when(F.col("side") == "top", -F.col("coefficient")).otherwise(F.col("coefficient")), "name")
+        ),
+    )
+    expected = [F.when(F.col("side") == side, F.get(F.array(*map(F.lit, v[:10])), F.col("rank") - 1)) for side, v in order.items()]
+    return picked.select(
+        "side", "rank", (F.col("coefficient") == F.coalesce(*expected)).alias("in_order"), F.lit(len(values)).alias("n_slots")
+    )
+
+
+def baseline_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """Per test row: the score agrees with the coefficients, the prediction with the score."""
+    own = linear_score(stages.logistic(spark, d), vector_to_array(FEATURES))
+    rows = with_score(stages.predicted(spark, d)).withColumn("raw", vector_to_array("rawPrediction")[1])
+    return rows.select(
+        ROW_KEY, "label",
+        (F.abs(own - F.col("raw")) < 1e-6).alias("score_agrees"),
+        (F.col("prediction") == (F.col("score") > 0.5).cast("double")).alias("prediction_agrees"),
+    )
+
+
+def forest_predictions(spark: SparkSession, d: str) -> DataFrame:
+    rows = with_score(predict(stages.forest(spark, d), stages.trusted(spark, d)[1]))
+    return rows.select(
+        ROW_KEY, "label",
+        F.col("score").between(0, 1).alias("in_range"),
+        (F.col("prediction") == (F.col("score") > 0.5).cast("double")).alias("prediction_agrees"),
+    )
+
+
+def importances(spark: SparkSession, d: str) -> DataFrame:
+    named = named_importances(stages.forest(spark, d), stages.trusted(spark, d)[0])
+    total = named.agg(F.sum("importance")).first()[0]
+    return named.select(
+        "idx", "name", F.col("importance").between(0, 1).alias("in_range"), F.lit(abs(total - 1) < 1e-9).alias("sums_to_one")
+    )
+
+
+def grid_points(spark: SparkSession, d: str) -> DataFrame:
+    scores = grid_scores(stages.search(spark, d))
+    return scores.select(
+        "position", "params", F.col("metric").between(0, 1).alias("in_range"), fold_sizes(stages.trusted(spark, d)[0]).alias("folds")
+    )
+
+
+def best_point(spark: SparkSession, d: str) -> DataFrame:
+    """The best grid point: its metric is the maximum and the best model has its parameters."""
+    search = stages.search(spark, d)
+    model = {p.name: v for p, v in search.bestModel.stages[0].extractParamMap().items()}
+    kept = F.from_json("params", "regParam double, elasticNetParam double")
+    return best_params(search).select(
+        (F.col("metric") == max(search.avgMetrics)).alias("is_best"),
+        ((kept["regParam"] == model["regParam"]) & (kept["elasticNetParam"] == model["elasticNetParam"])).alias("model_has_params"),
+        F.lit(len(search.avgMetrics)).alias("n_points"),
+        fold_sizes(stages.trusted(spark, d)[0]).alias("folds"),
     )
 
 
 def auc_model(spark: SparkSession, d: str) -> DataFrame:
-    """Binned and exact area of the tuned model, side by side."""
-    predictions = predict(stages.search(spark, d), stages.trusted(spark, d)[1])
-    exact = auc_exact(with_score(predictions)).withColumnRenamed("auc", "auc_exact")
-    return exact.withColumn("auc_binned", F.lit(auc(predictions)))
+    """Binned and exact area of the tuned model agree; rows per class."""
+    test = stages.trusted(spark, d)[1]
+    predictions = predict(stages.search(spark, d), test)
+    exact, binned = auc_exact(with_score(predictions)).first().auc, auc(predictions)
+    return test.agg(
+        F.count_if(F.col("label") == 1).alias("n_late"),
+        F.count_if(F.col("label") == 0).alias("n_on_time"),
+        F.lit(abs(exact - binned) < 2e-3).alias("areas_agree"),
+        F.lit(0.5 < exact <= 1).alias("beats_chance"),
+    )
 
 
 def model_comparison(spark: SparkSession, d: str) -> DataFrame:
+    """Per model: rows, late rows, and whether the ratios are those of whole cell counts."""
     test = stages.trusted(spark, d)[1]
     models = {
         "logistic": stages.logistic(spark, d),
         "tuned_logistic": stages.search(spark, d),
         "forest": stages.forest(spark, d),
     }
-    return compare_models({name: predict(model, test) for name, model in models.items()})
+    compared = compare_models({name: predict(model, test) for name, model in models.items()})
+    size = test.agg(F.count("*").alias("n"), F.sum(F.col("label").cast("bigint")).alias("late")).first()
+    right, hits = F.col("accuracy") * size.n, F.col("recall") * size.late
+    return compared.select(
+        "model",
+        F.lit(size.n).cast("bigint").alias("n_rows"),
+        F.lit(size.late).cast("bigint").alias("n_late"),
+        ((F.abs(right - F.round(right)) < 1e-6) & (F.abs(hits - F.round(hits)) < 1e-6)).alias("whole_cells"),
+        F.col("auc").between(0.5, 1).alias("auc_in_range"),
+    )
 
 
 QUERIES = {
@@ -168,21 +295,18 @@ QUERIES = {
     "fit_transform_split": lambda s, d: part_sizes(stages.encoded(s, d).train, stages.encoded(s, d).test),
     "feature_names": lambda s, d: feature_names(stages.encoded(s, d).train),
     # Statistics over the vector
-    "chi_square_slots": lambda s, d: chi_square(stages.trusted(s, d)[0]),
-    "chi_square_named": lambda s, d: chi_square_named(stages.trusted(s, d)[0]),
+    "chi_square_slots": lambda s, d: rounded(chi_square(stages.trusted(s, d)[0]).drop("p_value"), 4),
+    "chi_square_named": lambda s, d: rounded(chi_square_named(stages.trusted(s, d)[0]).drop("idx", "p_value"), 4),
     # Models and tuning
-    "train_logistic": lambda s, d: prediction_rows(predict(stages.logistic(s, d), stages.trusted(s, d)[0])),
-    "logistic_coefficients": lambda s, d: coefficients(stages.logistic(s, d)),
-    "named_coefficients": lambda s, d: named_coefficients(stages.logistic(s, d), stages.trusted(s, d)[0]),
-    "coef_top_bottom": lambda s, d: top_bottom(
-        named_coefficients(stages.search(s, d).bestModel.stages[0], stages.trusted(s, d)[0]),
-        "coefficient", 10, "name",
-    ),
-    "predict": lambda s, d: prediction_rows(stages.predicted(s, d)),
-    "train_forest": lambda s, d: prediction_rows(predict(stages.forest(s, d), stages.trusted(s, d)[1])),
-    "forest_importances": lambda s, d: named_importances(stages.forest(s, d), stages.trusted(s, d)[0]),
-    "grid_search": lambda s, d: grid_scores(stages.search(s, d)),
-    "best_params": lambda s, d: best_params(stages.search(s, d)),
+    "train_logistic": balanced_slots,
+    "logistic_coefficients": baseline_coefficients,
+    "named_coefficients": baseline_named_coefficients,
+    "coef_top_bottom": tuned_top_bottom,
+    "predict": baseline_predictions,
+    "train_forest": forest_predictions,
+    "forest_importances": importances,
+    "grid_search": grid_points,
+    "best_params": best_point,
     # Evaluation
     "auc_model": auc_model,
     "model_comparison": model_comparison,

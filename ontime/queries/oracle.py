@@ -231,10 +231,10 @@ def _correlation() -> str:
     return _union([f"SELECT '{a}' AS a, '{b}' AS b, {r} AS r FROM model_input" for (a, b), r in values.items()])
 
 
-def _contingency(columns: list[str]) -> dict[str, str]:
+def _contingency(columns: list[str], source: str = "featured") -> dict[str, str]:
     """(column, category, o, n per label), empty cells included."""
     return {
-        "texts": f"SELECT label, {_casts(columns, 'VARCHAR')} FROM featured",
+        "texts": f"SELECT label, {_casts(columns, 'VARCHAR')} FROM {source}",
         "cells": f'SELECT label, "column", value FROM (UNPIVOT texts ON {_names(columns)} INTO NAME "column" VALUE value)',
         "observed": """SELECT "column", value, count(*) FILTER (WHERE label = 0) AS o0,
             count(*) FILTER (WHERE label = 1) AS o1 FROM cells GROUP BY "column", value""",
@@ -320,8 +320,8 @@ PART_SIZES = query(
 )
 
 
-def _slot_names() -> str:
-    """One line per slot of the training vector: index, kind and name."""
+def _slots() -> dict[str, str]:
+    """Named table ``slots``: index, kind and name of each slot of the training vector."""
     parts = []
     for i, c in enumerate(CATEGORIES):
         offset = " + ".join(["0"] + [f"w{j}" for j in range(i)])
@@ -335,11 +335,50 @@ def _slot_names() -> str:
     for k, c in enumerate(config.CONTINUOUS_COLUMNS):
         offset = " + ".join(f"w{j}" for j in range(len(CATEGORIES)))
         parts.append(f"SELECT {offset} + {k}, 'numeric', '{scaled_name(c)}_0' FROM widths")
-    body = f"SELECT CAST(idx AS INT) AS idx, kind, name FROM ({_union(parts)})"
-    extra = {"train": "SELECT * FROM parted WHERE part = 0", **_ranks("train"), **_width_table("train")}
+    slots = f"SELECT CAST(idx AS INT) AS idx, kind, name FROM ({_union(parts)})"
+    return {"train": "SELECT * FROM parted WHERE part = 0", **_ranks("train"), **_width_table("train"), "slots": slots}
+
+
+def _slot_tests(select: str) -> str:
+    """Chi-square of every training slot from counts; a slot without rows has none."""
+    columns = [*CATEGORIES, *config.CONTINUOUS_COLUMNS]
+    continuous = ", ".join(f"'{c}'" for c in config.CONTINUOUS_COLUMNS)
+    tests = f"""SELECT feature AS name, statistic, dof FROM ({CHI_SLOTS} WHERE r < n AND "column" NOT IN ({continuous}))
+        UNION ALL SELECT concat("column", 'Scaled_0'), statistic, dof FROM ({CHI_TABLE}) WHERE "column" IN ({continuous})"""
+    extra = {**_slots(), **_contingency(columns, "train"), "tests": tests}
+    body = f"""SELECT {select}, coalesce(statistic, 0.0E0) AS statistic, CAST(coalesce(dof, 0) AS INT) AS dof
+        FROM slots LEFT JOIN tests USING (name)"""
     return query("parted", body, extra)
 
 
+def _folds() -> dict[str, str]:
+    """Named table ``folds``: rows and late rows of each training fold, as one text."""
+    return {
+        "sizes": f"""SELECT {_bucket(f"fold {config.SEED}", config.FOLDS)} AS fold, count(*) AS n,
+            CAST(sum(label) AS BIGINT) AS late FROM parted WHERE part = 0 GROUP BY 1""",
+        "folds": "SELECT string_agg(concat(fold, ':', n, ':', late), '|' ORDER BY fold) AS folds FROM sizes",
+    }
+
+
+def _grid() -> str:
+    points = [(r, e) for r in config.REG_PARAMS for e in config.ELASTIC_NET_PARAMS]
+    values = ", ".join(
+        f"""({i}, '{{"elasticNetParam": {e}, "regParam": {r}}}')""" for i, (r, e) in enumerate(points)
+    )
+    return f"(VALUES {values}) g(position, params)"
+
+
+def _summary() -> str:
+    numbers = [c for c in FEATURE_COLUMNS if c in RAW_NUMERIC and c not in config.CLEAN_CASTS]
+    numbers += ["label", "ScheduledArrTimeOfDay", "ScheduledDepTimeOfDay", "Season"]
+    return query(
+        "featured",
+        f'''SELECT "column", count(*) AS n_values, {STATISTICS}, true AS p25, true AS p50, true AS p75
+        FROM longs GROUP BY "column"''',
+        _numbers(numbers, "featured"),
+    )
+
+
 def _roc(bins: int, select: str) -> str:
     return query(
         "scored",
@@ -536,7 +575,7 @@ ORACLE = {
     "assemble_features": _vectors("train", "train"),
     "feature_pipeline": _vectors("featured", "featured"),
     "fit_transform_split": PART_SIZES,
-    "feature_names": _slot_names(),
+    "feature_names": query("parted", "SELECT idx, kind, name FROM slots", _slots()),
     # Statistics
     "corr_matrix": query("model_input", _correlation()),
     "chi_square_category": query("featured", CHI_TABLE, _contingency([*CATEGORIES, *config.CONTINUOUS_COLUMNS])),
@@ -559,4 +598,62 @@ ORACLE = {
         FROM scored GROUP BY probability))""",
     ),
     "roc_points": _roc(1000, "threshold, fpr, tpr"),
+    # Sketches, random parts and fitted models: counts and names, and what has to hold
+    "landing_inventory": f"SELECT source_file AS file_name, true AS has_bytes, n_rows FROM ({_file_counts(ALL_TABLES)})",
+    "summary_all": _summary(),
+    "random_split": query(
+        "featured",
+        f"""SELECT CAST(count(*) AS BIGINT) AS n_rows, count(DISTINCT {KEY}) AS n_keys, CAST(0 AS BIGINT) AS n_in_both,
+        true AS share_near FROM featured""",
+    ),
+    "chi_square_slots": _slot_tests("idx"),
+    "chi_square_named": _slot_tests("name AS feature"),
+    "train_logistic": query(
+        "parted",
+        """SELECT idx, o0 + o1 AS n_rows, o1 AS n_late, true AS balanced
+        FROM slots JOIN observed ON name = concat("column", 'Vector_', value)""",
+        {**_slots(), **_contingency(CATEGORIES, "train")},
+    ),
+    "logistic_coefficients": query(
+        "parted", "SELECT idx, true AS finite FROM slots UNION ALL SELECT -1, true", _slots()
+    ),
+    "named_coefficients": query("parted", "SELECT idx, name, true AS finite FROM slots", _slots()),
+    "coef_top_bottom": query(
+        "parted",
+        """SELECT side, CAST(k AS INT) AS rank, true AS in_order, (SELECT CAST(count(*) AS INT) FROM slots) AS n_slots
+        FROM (VALUES ('top'), ('bottom')) v(side), range(1, 11) t(k)""",
+        _slots(),
+    ),
+    "predict": query(
+        "parted",
+        f"""SELECT {KEY}, CAST(label AS DOUBLE) AS label, true AS score_agrees, true AS prediction_agrees
+        FROM parted WHERE part = 1""",
+    ),
+    "train_forest": query(
+        "parted",
+        f"""SELECT {KEY}, CAST(label AS DOUBLE) AS label, true AS in_range, true AS prediction_agrees
+        FROM parted WHERE part = 1""",
+    ),
+    "forest_importances": query(
+        "parted", "SELECT idx, name, true AS in_range, true AS sums_to_one FROM slots", _slots()
+    ),
+    "grid_search": query(
+        "parted", f"SELECT position, params, true AS in_range, folds FROM {_grid()}, folds", _folds()
+    ),
+    "best_params": query(
+        "parted",
+        f"""SELECT true AS is_best, true AS model_has_params, CAST(count(*) AS INT) AS n_points, folds
+        FROM {_grid()}, folds GROUP BY folds""",
+        _folds(),
+    ),
+    "auc_model": query(
+        "parted",
+        """SELECT count(*) FILTER (WHERE label = 1) AS n_late, count(*) FILTER (WHERE label = 0) AS n_on_time,
+        true AS areas_agree, true AS beats_chance FROM parted WHERE part = 1""",
+    ),
+    "model_comparison": query(
+        "parted",
+        """SELECT model, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_late, true AS whole_cells, true AS auc_in_range
+        FROM parted, (VALUES ('logistic'), ('tuned_logistic'), ('forest')) m(model) WHERE part = 1 GROUP BY model""",
+    ),
 }

@@ -58,6 +58,8 @@ from ontime.operators import (
     value_counts,
 )
 from ontime.operators.filters import at_least, has_values
+from ontime.operators.profile import numeric_counts
+from ontime.operators.projection import numeric_columns
 from ontime.plans import cleaning_job
 from ontime.plans.flights import ROW_KEY
 from ontime.queries import stages
@@ -73,6 +75,7 @@ from ontime.sources import (
 CATEGORIES = [*config.STRING_CATEGORIES, *config.INTEGER_CATEGORIES]
 HISTOGRAM_COLUMNS = ["ActualElapsedTime", "ArrDelayMinutes", "DepDelay", "CRSDepTime"]
 SCATTER_BINS = 50
+SKETCH_ACCURACY = 10_000
 TIMES = ("CRSArrTime", "CRSDepTime")
 LAST_FILE = "lineitem.parquet"
 NULLABLE = ["DepTime", "DepDelay", "ArrTime", "ArrDelay", "AirTime"]
@@ -118,6 +121,47 @@ def zone_rename(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def file_inventory(spark: SparkSession, d: str) -> DataFrame:
+    """The listing with each file's row count."""
+    counted = read_landing(spark, d, merge_schema=True).groupBy("source_file").agg(F.count("*").alias("n_rows"))
+    listed = landing_inventory(spark, d).select("file_name", (F.col("size_bytes") > 0).alias("has_bytes"))
+    return listed.join(counted, listed.file_name == counted.source_file, "left").select("file_name", "has_bytes", "n_rows")
+
+
+def summary_all(spark: SparkSession, d: str) -> DataFrame:
+    """The approximate summary, each sketched mark as whether its rank is near enough."""
+    table = stages.featured(spark, d)
+    summary = describe_numeric(table, approx=True, accuracy=SKETCH_ACCURACY)
+    marks = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    # One row per profiled column joins the value counts.
+    counts = numeric_counts(table, numeric_columns(table)).join(F.broadcast(summary.select("column", *marks)), "column")
+    n, value, slack = F.sum("n"), F.col("value"), 1 / SKETCH_ACCURACY
+    near = counts.groupBy("column").agg(
+        *[
+            (
+                (F.sum(F.when(value < F.col(m), F.col("n")).otherwise(0)) <= (p + slack) * n + 1)
+                & (F.sum(F.when(value <= F.col(m), F.col("n")).otherwise(0)) >= (p - slack) * n - 1)
+            ).alias(m)
+            for m, p in marks.items()
+        ]
+    )
+    return rounded(summary.drop(*marks)).join(near, "column")
+
+
+def split_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and keys over both parts of the random split, keys in both, and the share."""
+    train, test = random_split(stages.featured(spark, d))
+    both = train.select(ROW_KEY, F.lit(0).alias("part")).unionByName(test.select(ROW_KEY, F.lit(1).alias("part")))
+    keys = both.groupBy(ROW_KEY).agg(F.count("*").alias("n"), F.sum("part").alias("in_test"))
+    share = F.sum("in_test") / F.sum("n")
+    return keys.agg(
+        F.sum("n").alias("n_rows"),
+        F.count("*").alias("n_keys"),
+        F.count_if((F.col("in_test") > 0) & (F.col("in_test") < F.col("n"))).alias("n_in_both"),
+        (F.abs(share - config.SPLIT_WEIGHTS[1]) < 5 / F.sqrt(F.sum("n"))).alias("share_near"),
+    )
+
+
 def write_cleaned(spark: SparkSession, d: str) -> DataFrame:
     """The cleaning job from landing to cleaned, read back."""
     schema = stages.raw(spark, d).schema
@@ -177,7 +221,7 @@ def confusion_heatmap(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     # Scans, sources, sinks
-    "landing_inventory": lambda s, d: landing_inventory(s, d),
+    "landing_inventory": file_inventory,
     "scan_landing": scan_landing,
     "scan_cleaned": scan_cleaned,
     "scan_until": scan_until,
@@ -255,7 +299,7 @@ QUERIES = {
     "describe_column": lambda s, d: rounded(
         describe_numeric(stages.raw(s, d), ["ArrDelayMinutes"], percentiles=False)
     ),
-    "summary_all": lambda s, d: describe_numeric(stages.featured(s, d), approx=True),
+    "summary_all": summary_all,
     "profile_numeric": lambda s, d: rounded(
         profile_numeric(stages.by_year(stages.cleaned(s, d)), "source_file")
     ),
@@ -291,7 +335,7 @@ QUERIES = {
     "arg_best": lambda s, d: rounded(arg_best(cutoffs(s, d), "accuracy", "cutoff")),
     # Split
     "split_train_test": lambda s, d: assign_parts(stages.featured(s, d), [ROW_KEY]).select(ROW_KEY, "label", "part"),
-    "random_split": lambda s, d: random_split(stages.featured(s, d))[0],
+    "random_split": split_sizes,
     "score_fixed": lambda s, d: rounded(
         stages.scored(s, d).select(ROW_KEY, "label", "probability", "prediction")
     ),

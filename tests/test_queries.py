@@ -68,36 +68,51 @@ def test_chi_square_of_vector_slots_agrees_with_counts(spark, sf_dir):
 
 
 def test_slots_without_rows_are_never_significant(spark, sf_dir):
-    rows = QUERIES["chi_square_slots"](spark, sf_dir).filter("dof = 0").collect()
+    from ontime.operators import chi_square
+
+    rows = chi_square(stages.trusted(spark, sf_dir)[0]).filter("dof = 0").collect()
     assert len(rows) == 10 and all(r.statistic == 0 and r.p_value == 1 for r in rows)
 
 
 def test_grid_covers_every_combination(spark, sf_dir):
-    rows = QUERIES["grid_search"](spark, sf_dir).collect()
+    from ontime.operators import best_params, grid_scores
+
+    search = stages.search(spark, sf_dir)
+    rows = grid_scores(search).collect()
     assert len({r.params for r in rows}) == 12
     assert all(0 <= r.metric <= 1 for r in rows)
-    best = QUERIES["best_params"](spark, sf_dir).first()
-    assert best.metric == max(r.metric for r in rows)
+    assert best_params(search).first().metric == max(r.metric for r in rows)
 
 
 def test_binned_and_exact_areas_agree(spark, sf_dir):
-    row = QUERIES["auc_model"](spark, sf_dir).first()
-    assert row.auc_binned == pytest.approx(row.auc_exact, abs=2e-3)
+    from ontime.operators import auc, auc_exact, predict, with_score
+
+    predictions = predict(stages.search(spark, sf_dir), stages.trusted(spark, sf_dir)[1])
+    assert auc(predictions) == pytest.approx(auc_exact(with_score(predictions)).first().auc, abs=2e-3)
 
 
 def test_models_beat_chance(spark, sf_dir):
-    rows = {r.model: r for r in QUERIES["model_comparison"](spark, sf_dir).collect()}
-    assert set(rows) == {"logistic", "tuned_logistic", "forest"}
-    assert all(r.auc > 0.55 for r in rows.values())
+    from ontime.operators import compare_models, predict
+
+    test = stages.trusted(spark, sf_dir)[1]
+    models = {"logistic": stages.logistic, "tuned_logistic": stages.search, "forest": stages.forest}
+    rows = compare_models({name: predict(fit(spark, sf_dir), test) for name, fit in models.items()}).collect()
+    assert {r.model for r in rows} == set(models)
+    assert all(r.auc > 0.55 for r in rows)
 
 
 def test_importances_sum_to_one(spark, sf_dir):
-    rows = QUERIES["forest_importances"](spark, sf_dir).collect()
+    from ontime.operators import named_importances
+
+    rows = named_importances(stages.forest(spark, sf_dir), stages.trusted(spark, sf_dir)[0]).collect()
     assert sum(r.importance for r in rows) == pytest.approx(1.0)
 
 
 def test_top_and_bottom_coefficients(spark, sf_dir):
-    rows = QUERIES["coef_top_bottom"](spark, sf_dir).collect()
+    from ontime.operators import named_coefficients, top_bottom
+
+    named = named_coefficients(stages.search(spark, sf_dir).bestModel.stages[0], stages.trusted(spark, sf_dir)[0])
+    rows = top_bottom(named, "coefficient", 10, "name").collect()
     top = [r.coefficient for r in rows if r.side == "top"]
     bottom = [r.coefficient for r in rows if r.side == "bottom"]
     assert len(top) == len(bottom) == 10 and min(top) >= max(bottom)
