@@ -39,15 +39,17 @@ def scatter_grid(df: DataFrame, x: str, ys: Sequence[str], bins: int = 50) -> Da
     """(y, x_bin, y_bin, n): each column against ``x`` on a bins x bins grid.
 
     The grid spans the exact minimum and maximum of each column, found in one
-    pass that brings one row to the driver. The result has at most
-    ``len(ys) * bins ** 2`` rows, whatever the input.
+    pass that brings one row to the driver. Infinite values do not widen it; they
+    fall in the outer bins. The result has at most ``len(ys) * bins ** 2`` rows,
+    whatever the input.
     """
     kinds = dict(df.dtypes)
     names = [x, *ys]
     clean = df.select(*[drop_nan(F.col(c), kinds[c]).cast("double").alias(c) for c in names])
+    finite = {c: F.when(F.abs(c) < float("inf"), F.col(c)) for c in names}
     bounds = clean.agg(
-        *[F.min(c).alias(f"lo_{i}") for i, c in enumerate(names)],
-        *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(names)],
+        *[F.min(finite[c]).alias(f"lo_{i}") for i, c in enumerate(names)],
+        *[F.max(finite[c]).alias(f"hi_{i}") for i, c in enumerate(names)],
     ).first()
 
     def grid_bin(i: int) -> Column:
@@ -55,7 +57,8 @@ def scatter_grid(df: DataFrame, x: str, ys: Sequence[str], bins: int = 50) -> Da
         value = F.col(names[i])
         if low is None or low == high:
             return F.when(value.isNotNull(), 0)
-        step = F.floor((value - F.lit(low)) * F.lit(float(bins)) / F.lit(high - low))
+        inside = F.least(F.greatest(value, F.lit(low)), F.lit(high))
+        step = F.floor((inside - F.lit(low)) * F.lit(float(bins)) / F.lit(high - low))
         return F.when(value.isNotNull(), F.least(step, F.lit(bins - 1))).cast("int")
 
     cells = clean.select(

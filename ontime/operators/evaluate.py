@@ -59,10 +59,11 @@ def auc(predictions: DataFrame, raw: str = "rawPrediction", label: str = "label"
 
 
 def _class_counts(predictions: DataFrame, score: str | Column, label: str) -> DataFrame:
-    """(score, pos, neg); a label that is not 0 or 1 or a null score is an error."""
+    """(score, pos, neg); a label that is not 0 or 1, a null or a NaN score is an error."""
     value = F.col(score) if isinstance(score, str) else score
     wrong = F.raise_error(F.lit("labels have to be 0 or 1 and scores known"))
-    known = F.when(value.isNotNull() & F.col(label).isin(0, 1), F.col(label) == 1).otherwise(wrong.cast("boolean"))
+    known = value.isNotNull() & ~F.isnan(value.cast("double")) & F.col(label).isin(0, 1)
+    known = F.when(known, F.col(label) == 1).otherwise(wrong.cast("boolean"))
     return predictions.select(value.alias("score"), known.alias("late")).select(
         "score", F.col("late").cast("bigint").alias("pos"), (~F.col("late")).cast("bigint").alias("neg")
     )
@@ -82,12 +83,19 @@ def auc_exact(predictions: DataFrame, score: str = "score", label: str = "label"
 
 
 def roc_points(
-    predictions: DataFrame, score: str = "score", label: str = "label", bins: int | None = 1000
+    predictions: DataFrame,
+    score: str = "score",
+    label: str = "label",
+    bins: int | None = 1000,
+    span: tuple[float, float] | None = None,
 ) -> DataFrame:
     """(threshold, fpr, tpr) of the rule score >= threshold, from (0, 0) to (1, 1).
 
-    ``bins`` rounds scores in [0, 1] down to that many steps; the window then sees
-    at most ``bins + 2`` rows. ``None`` gives a point for every distinct score.
+    ``bins`` rounds scores down to that many steps of ``span``; the window then
+    sees at most ``bins + 2`` rows. Without a span the steps lie between the
+    smallest and the largest finite score, infinite scores falling in the outer
+    steps; a score outside a given span is an error. ``bins=None`` gives a point
+    for every distinct score.
     """
     if bins is None:
         totals = running_totals(_class_counts(predictions, score, label), "score", ["pos", "neg"])
@@ -101,9 +109,20 @@ def roc_points(
         )
         return points.unionByName(start)
 
-    step = F.floor(F.col(score) * bins)
+    value = F.col(score).cast("double")
+    if span is None:
+        finite = F.when(F.abs(value) < float("inf"), value)
+        bounds = predictions.agg(F.struct(F.min(finite).alias("low"), F.max(finite).alias("high"))).scalar()
+        low, high = (F.coalesce(bounds.getField(name), F.lit(0.0)) for name in ("low", "high"))
+        inside = F.least(F.greatest(value, low), high)
+    else:
+        low, high = (F.lit(float(bound)) for bound in span)
+        outside = F.raise_error(F.lit(f"scores have to lie in {list(span)}")).cast("double")
+        inside = F.when(value.between(low, high) | value.isNull() | F.isnan(value), value).otherwise(outside)
+    width = high - low
+    step = F.when(inside.isNotNull(), F.coalesce(F.floor(F.try_divide((inside - low) * bins, width)), F.lit(0)))
     counts = (
-        _class_counts(predictions, step, label)
+        _class_counts(predictions.withColumn("_step", F.when(~F.isnan(value), step)), "_step", label)
         .groupBy("score")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     )
@@ -113,7 +132,7 @@ def roc_points(
     everything = Window.partitionBy()
     from_top = everything.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
     return counts.unionByName(start).select(
-        (F.col("score") / bins).alias("threshold"),
+        (low + F.col("score") * width / bins).alias("threshold"),
         F.try_divide(F.sum("neg").over(from_top), F.sum("neg").over(everything)).alias("fpr"),
         F.try_divide(F.sum("pos").over(from_top), F.sum("pos").over(everything)).alias("tpr"),
     )

@@ -16,6 +16,12 @@ from ontime.operators.running import exact_percentiles, percentile_name
 
 QUARTILES = (0.25, 0.5, 0.75)
 ROW_HASH_SEEDS = (1, 2, 3)
+# Microseconds and offset: the default text of a timestamp in JSON has milliseconds only.
+TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"
+JSON_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def _count_columns(df: DataFrame, condition, names: Sequence[str], out: str) -> DataFrame:
@@ -103,9 +109,15 @@ def cell_counts(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = ()) ->
 
 
 def _as_text(column: Column, kind: str) -> Column:
-    """A text that differs for different values of the column."""
+    """A text that differs for different values of the column.
+
+    Timestamps carry their offset, else an hour that the clock shows twice would
+    be one value.
+    """
     if kind.startswith(config.NESTED_TYPES):
-        return F.to_json(column, {"ignoreNullFields": "false"})
+        return F.to_json(column, {"ignoreNullFields": "false", **JSON_TIMES})
+    if kind == "timestamp":
+        return F.date_format(column, TIMESTAMP_TEXT)
     return unsigned_zero(drop_nan(column, kind), kind).cast("string")
 
 
@@ -192,7 +204,7 @@ def profile_categorical(df: DataFrame, source: str, cols: Sequence[str]) -> Data
     for kind, members in typed.items():
         value = F.col("value")
         if kind.startswith(config.NESTED_TYPES):
-            value = F.from_json(value, kind) if not kind.startswith("map") else F.lit(None)
+            value = F.from_json(value, kind, JSON_TIMES) if not kind.startswith("map") else F.lit(None)
         else:
             value = value.try_cast(kind)
         value = F.when(F.col("column").isin(*members), value)

@@ -50,8 +50,14 @@ def cleaning_job(
     carry: Sequence[str] = (),
 ) -> CleaningResult:
     """Clean every landing file into the cleaned zone, one output folder per
-    input, and profile what was written."""
-    landed = read_landing(spark, f"{root.rstrip('/')}/{LANDING}", schema=schema, last_file=last_file)
+    input, and profile what was written. A file that lacks a column is an error."""
+    landed = read_landing(
+        spark,
+        f"{root.rstrip('/')}/{LANDING}",
+        schema=schema,
+        last_file=last_file,
+        required=[*config.FLIGHT_COLUMNS, *carry],
+    )
     cleaned = clean_flights(landed, carry=[*carry, "source_file"])
     path = write_zone(cleaned, root, CLEANED, partition_by=["source_file"])
     written = read_zone(spark, root, CLEANED)

@@ -487,6 +487,7 @@ ORACLE = {
     ),
     "rows_with_nulls": query("flights", f"SELECT count(*) AS n_rows FROM flights WHERE NOT ({_not_null(config.FLIGHT_COLUMNS)})"),
     "duplicate_count": query("flights", DUPLICATES.format(_names(config.FLIGHT_COLUMNS))),
+    "duplicate_count_exact": query("flights", DUPLICATES.format(_names(config.FLIGHT_COLUMNS))),
     "duplicate_count_subset": query("flights", DUPLICATES.format("Origin, Dest, Month")),
     "describe_all": query(
         "flights",

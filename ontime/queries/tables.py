@@ -294,6 +294,7 @@ QUERIES = {
     "columns_with_nulls": lambda s, d: columns_with_nulls(stages.raw(s, d)),
     "rows_with_nulls": lambda s, d: rows_with_nulls(stages.raw(s, d)),
     "duplicate_count": lambda s, d: duplicate_count(stages.raw(s, d).drop(ROW_KEY), hashed=True),
+    "duplicate_count_exact": lambda s, d: duplicate_count(stages.raw(s, d).drop(ROW_KEY)),
     "duplicate_count_subset": lambda s, d: duplicate_count(stages.raw(s, d), ["Origin", "Dest", "Month"]),
     "describe_all": lambda s, d: rounded(describe_numeric(stages.raw(s, d))),
     "describe_column": lambda s, d: rounded(
@@ -321,7 +322,7 @@ QUERIES = {
         stages.raw(s, d), config.SCATTER_X, config.SCATTER_Y, SCATTER_BINS
     ),
     "heatmap_long": confusion_heatmap,
-    "roc_chart": lambda s, d: rounded(roc_chart(roc_points(stages.scored(s, d), "probability", bins=100))),
+    "roc_chart": lambda s, d: rounded(roc_chart(roc_points(stages.scored(s, d), "probability", bins=100, span=(0, 1)))),
     "chi_square_top20": lambda s, d: top_k(onehot_tests(s, d), "statistic", 20, "feature"),
     # Sorts, limits, top-k
     "sort_by_value": lambda s, d: value_counts(stages.featured(s, d), "Season", sort=True),
@@ -350,5 +351,5 @@ QUERIES = {
     # Evaluation
     "classification_metrics": lambda s, d: rounded(classification_metrics(stages.scored(s, d))),
     "auc_exact": lambda s, d: rounded(auc_exact(stages.scored(s, d), "probability")),
-    "roc_points": lambda s, d: rounded(roc_points(stages.scored(s, d), "probability")),
+    "roc_points": lambda s, d: rounded(roc_points(stages.scored(s, d), "probability", span=(0, 1))),
 }

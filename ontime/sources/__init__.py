@@ -1,4 +1,4 @@
-from ontime.sources.landing import landing_inventory, read_cleaned, read_landing
+from ontime.sources.landing import landing_inventory, missing_columns, read_cleaned, read_landing
 from ontime.sources.zones import (
     read_chart,
     read_zone,
@@ -9,6 +9,7 @@ from ontime.sources.zones import (
 
 __all__ = [
     "landing_inventory",
+    "missing_columns",
     "read_chart",
     "read_cleaned",
     "read_landing",

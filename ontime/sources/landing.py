@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,6 +22,35 @@ def landing_inventory(spark: SparkSession, path: str, glob: str = "*.parquet") -
     )
 
 
+# Footers read at a time.
+FOOTERS = 16
+
+
+def missing_columns(
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str],
+    last_file: str | None = None,
+    glob: str = "*.parquet",
+) -> dict[str, list[str]]:
+    """The landing files that lack some of ``columns``, with what they lack.
+
+    One footer is read per file; names are compared as Spark compares them.
+    """
+    listed = landing_inventory(spark, path, glob)
+    if last_file is not None:
+        listed = listed.filter(F.col("file_name") <= last_file)
+    # A listing: the driver holds it for any scan of the folder.
+    files = sorted(row["path"] for row in listed.select("path").collect())
+
+    def lacking(file: str) -> list[str]:
+        have = {c.lower() for c in spark.read.parquet(file).columns}
+        return [c for c in columns if c.lower() not in have]
+
+    with ThreadPoolExecutor(FOOTERS) as pool:
+        return {file: lacks for file, lacks in zip(files, pool.map(lacking, files), strict=True) if lacks}
+
+
 def read_landing(
     spark: SparkSession,
     path: str,
@@ -27,6 +59,7 @@ def read_landing(
     glob: str = "*.parquet",
     merge_schema: bool = False,
     tag_source: bool = True,
+    required: Sequence[str] = (),
 ) -> DataFrame:
     """All landing files as one table, tagged with ``source_file``.
 
@@ -35,7 +68,14 @@ def read_landing(
     ``schema`` for large folders: it saves the footer reads of inference. Leave
     ``tag_source`` off where the tag is not used: a tag that is dropped later
     still makes the scan produce every metadata field, row numbers included.
+
+    A file without one of the ``required`` columns is an error. Otherwise its
+    cells would be null, and a null filter would drop the file without a word.
     """
+    if required:
+        missing = missing_columns(spark, path, required, last_file, glob)
+        if missing:
+            raise ValueError("; ".join(f"{file} lacks {', '.join(lacks)}" for file, lacks in missing.items()))
     reader = spark.read.option("pathGlobFilter", glob).option("mergeSchema", merge_schema)
     if schema is not None:
         reader = reader.schema(schema)
