@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations_with_replacement
 from operator import add
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import ChiSquareTest, Correlation
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from ontime.operators.encode import FEATURES, feature_names, vector_name
 
 # A test has a counter per label.
 MAX_LABELS = 100
+CHI_SQUARE = "idx int, statistic double, p_value double, dof int"
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -131,16 +134,83 @@ def chi_square_onehot(
 def chi_square(df: DataFrame, features: str = FEATURES, label: str = "label") -> DataFrame:
     """(idx, statistic, p_value, dof) per slot of the feature vector.
 
-    The test treats every distinct value of a slot as a category and gives up
-    beyond 10,000 of them; test such columns with ``chi_square_table``.
+    Every distinct value of a slot is a category, however many there are. Only
+    the cells that are not zero are counted, one row per slot, value and label
+    and task; the zeros of a slot are what is missing of the label's rows. The
+    result has one row per slot and is brought to the driver for its p values.
     """
-    result = ChiSquareTest.test(df, features, label, flatten=True)
-    return result.select(
-        F.col("featureIndex").alias("idx"),
-        "statistic",
-        F.col("pValue").alias("p_value"),
-        F.col("degreesOfFreedom").alias("dof"),
+    labels = label_values(df, label)
+    rows = df.select(F.col(label).alias("_label"), vector_to_array(features).alias("_values"))
+    rows = rows.filter(F.col("_label").isNotNull())
+    counters = [F.count_if(F.col("_label") == v).alias(f"o{i}") for i, v in enumerate(labels)]
+    whole = rows.agg(F.max(F.size("_values")).alias("width"), *counters).first()
+    if not whole["width"]:
+        return df.sparkSession.createDataFrame([], CHI_SQUARE)
+    totals = [whole[f"o{i}"] for i in range(len(labels))]
+    n = float(sum(totals))
+
+    slots = F.transform("_values", lambda value, i: F.struct(i.alias("idx"), value.alias("value")))
+    cells = rows.select("_label", F.inline(F.filter(slots, lambda slot: slot["value"] != 0)))
+    observed = cells.groupBy("idx", "value").agg(*counters)
+    used = [(F.col(f"o{i}").cast("double"), total) for i, total in enumerate(totals) if total]
+
+    def terms(parts: Sequence[tuple[Column, int]]) -> Column:
+        row = reduce(add, [o for o, _ in parts])
+        cell = [_cell(o, row, F.lit(float(total)), F.lit(n)) for o, total in parts]
+        return F.when(row > 0, reduce(add, cell)).otherwise(0.0)
+
+    found = observed.groupBy("idx").agg(
+        F.sum(terms(used)).alias("statistic"),
+        F.count("*").alias("categories"),
+        *[F.sum(f"o{i}").alias(f"o{i}") for i in range(len(labels))],
     )
+    zeros = [(F.lit(float(total)) - o, total) for o, total in used]
+    has_zero = reduce(add, [o for o, _ in zeros]) > 0
+    table = found.select(
+        "idx",
+        (F.col("statistic") + terms(zeros)).alias("statistic"),
+        (F.col("categories") + has_zero.cast("int")).alias("categories"),
+    )
+    by_slot = {row["idx"]: (row["statistic"], row["categories"]) for row in table.collect()}
+    out = []
+    for i in range(whole["width"]):
+        statistic, categories = by_slot.get(i, (0.0, 1))
+        dof = (categories - 1) * (len(used) - 1)
+        out.append((i, statistic if dof else 0.0, chi_square_tail(statistic, dof), dof))
+    return df.sparkSession.createDataFrame(out, CHI_SQUARE)
+
+
+def chi_square_tail(statistic: float, dof: int) -> float:
+    """Probability of a larger chi-square value by chance; one without freedom.
+
+    The upper incomplete gamma function at dof / 2, by its series below the
+    mean and by its continued fraction above.
+    """
+    if dof == 0 or statistic <= 0:
+        return 1.0
+    a, x = dof / 2, statistic / 2
+    scale = math.exp(a * math.log(x) - x - math.lgamma(a))
+    if x < a + 1:
+        term = total = 1 / a
+        k = a
+        while term > total * 1e-16:
+            k += 1
+            term *= x / k
+            total += term
+        return max(0.0, 1 - scale * total)
+    tiny = 1e-300
+    b = x + 1 - a
+    c, d = 1 / tiny, 1 / b
+    fraction, step, k = d, 0.0, 0
+    while abs(step - 1) > 1e-15:
+        k += 1
+        factor = -k * (k - a)
+        b += 2
+        d = 1 / ((factor * d + b) or tiny)
+        c = (b + factor / c) or tiny
+        step = d * c
+        fraction *= step
+    return scale * fraction
 
 
 def chi_square_named(df: DataFrame, features: str = FEATURES, label: str = "label") -> DataFrame:

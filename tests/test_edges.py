@@ -1,13 +1,17 @@
 """Score ranges, times that print alike, landing files without a column, infinite grid values."""
 
+import math
 from datetime import datetime, timezone
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
 from ontime.operators import roc_points, scatter_grid
 from ontime.operators.profile import cell_counts, profile_categorical
+from ontime.operators.stats import chi_square, chi_square_tail
 from ontime.sources import missing_columns, read_landing
 
 
@@ -81,3 +85,43 @@ def test_infinite_cells_leave_the_grid_as_it_is(spark):
     table = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0), (0.5, inf), (0.5, -inf)], "x double, y double")
     cells = {(r["x_bin"], r["y_bin"]): r["n"] for r in scatter_grid(table, "x", ["y"], bins=4).collect()}
     assert cells == {(0, 0): 1, (3, 3): 1, (2, 3): 1, (2, 0): 1}
+
+
+def test_slot_tests_equal_the_library(spark):
+    table = spark.range(4000).select(
+        (F.col("id") % 3).cast("double").alias("label"),
+        ((F.col("id") * 7919) % 97).cast("double").alias("a"),
+        (F.col("id") % 3 == 1).cast("double").alias("b"),
+        F.lit(0.0).alias("c"),
+        ((F.col("id") * F.col("id")) % 11 - 5).cast("double").alias("d"),
+    )
+    vectors = VectorAssembler(inputCols=["a", "b", "c", "d"], outputCol="features").transform(table)
+    own = chi_square(vectors).orderBy("idx").collect()
+    library = ChiSquareTest.test(vectors, "features", "label", flatten=True).orderBy("featureIndex").collect()
+    assert [r["dof"] for r in own] == [r["degreesOfFreedom"] for r in library]
+    for mine, theirs in zip(own, library, strict=True):
+        assert math.isclose(mine["statistic"], theirs["statistic"], rel_tol=1e-9, abs_tol=1e-9)
+        assert math.isclose(mine["p_value"], theirs["pValue"], rel_tol=1e-8, abs_tol=1e-12)
+
+
+def test_slot_test_of_many_values(spark):
+    table = spark.range(40_000).select(
+        (F.col("id") % 2).cast("double").alias("label"), (F.col("id") % 20_000).cast("double").alias("a")
+    )
+    vectors = VectorAssembler(inputCols=["a"], outputCol="features").transform(table)
+    row = chi_square(vectors).first()
+    # Each value has one label only, so the statistic is the row count.
+    assert row["dof"] == 19_999
+    assert math.isclose(row["statistic"], 40_000, rel_tol=1e-9)
+    assert row["p_value"] < 1e-9
+
+
+@pytest.mark.parametrize(("statistic", "dof", "expected"), [(3.841458820694124, 1, 0.05), (18.307038053275146, 10, 0.05), (9.34181776559197, 10, 0.5)])
+def test_chi_square_tail(statistic, dof, expected):
+    assert math.isclose(chi_square_tail(statistic, dof), expected, rel_tol=1e-9)
+
+
+def test_slot_tests_of_an_empty_table(spark):
+    table = spark.createDataFrame([], "label double, a double")
+    vectors = VectorAssembler(inputCols=["a"], outputCol="features").transform(table)
+    assert chi_square(vectors).count() == 0
