@@ -27,6 +27,8 @@ FACTOR = 1.0
 # Vectors per shard and queries per block, about.
 SHARD_ROWS = 16_384
 BLOCK_ROWS = 1024
+# Numbers of the largest array of candidates, which bounds a task's memory.
+PART = 1 << 22
 
 
 def grow(unit: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
@@ -47,7 +49,9 @@ def grow(unit: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
             vantage = rows[rng.integers(len(rows))]
             far = np.sqrt(np.maximum(((unit[rows] - unit[vantage]) ** 2).sum(axis=1), 0))
             inside = far <= np.median(far)
-            if not inside.all():
+            # Where most distances are equal a side may be next to empty: no
+            # split, as the depth would grow with the rows.
+            if 8 * np.count_nonzero(~inside) >= len(rows):
                 near, beyond = far[inside], far[~inside]
                 bounds = [near.min(), near.max(), beyond.min(), beyond.max()]
                 nodes[at] = [float(vantage), *bounds, add(rows[inside]), add(rows[~inside])]
@@ -60,32 +64,55 @@ def grow(unit: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(order), np.array(nodes)
 
 
-def search(unit: np.ndarray, nodes: np.ndarray, order: np.ndarray, queries: np.ndarray, m: int, factor: float) -> np.ndarray:
-    """(queries, m): rows of the m nearest unit vectors each, -1 for none; all
-    queries go down the tree together and leave a branch one by one."""
-    best = np.full((len(queries), m), np.inf)
-    rows = np.full((len(queries), m), -1, np.int64)
-    leaves = unit[order]
+def search(
+    unit: np.ndarray, nodes: np.ndarray, order: np.ndarray, queries: np.ndarray,
+    single: np.ndarray, name: np.ndarray, own: np.ndarray, k: int, factor: float,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (query, row), in parts of bounded size, each pair once: with factor one
+    they hold every row whose cosine may be among the query's k best, all ties
+    included. All queries go down the tree together and leave a branch one by one.
+
+    A row that is ``single``, has one id, is no answer to the query if its ``name``
+    is the query's ``own``, and does not count for the k.
+    """
+    dim = unit.shape[1]
+    # Bounds of the rounding in a product of unit vectors and in a distance.
+    slack = 8 * (dim + 8) * np.finfo(np.float64).eps
+    best = np.full((len(queries), k), -np.inf)
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    waiting = 0
+
+    def flush() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        at, hit, cosine = (np.concatenate(x) for x in zip(*held, strict=True))
+        near = np.flatnonzero(cosine >= best[at, -1] - slack)
+        for i in range(0, len(near), max(1, PART // dim)):
+            part = near[i : i + max(1, PART // dim)]
+            yield at[part], hit[part]
+
+    leaves, single, name = unit[order], single[order], name[order]
     stack = [(0, np.arange(len(queries)), np.zeros(len(queries)))]
-    slack = 1e-9  # for rounding in the distances
     while stack:
         node, active, bound = stack.pop()
-        open_ = bound * factor <= best[active, -1] + slack
-        active = active[open_]
+        active = active[1 - np.maximum(bound * factor - slack, 0) ** 2 / 2 >= best[active, -1] - slack]
         if not len(active):
             continue
         kind = nodes[node]
         if kind[0] < 0:
-            start, end = int(kind[1]), int(kind[2])
-            far = np.sqrt(np.maximum(2 - 2 * (queries[active] @ leaves[start:end].T), 0))
-            better = (far < best[active, -1:]).any(axis=1)
-            active, far = active[better], far[better]
-            both = np.concatenate([best[active], far], axis=1)
-            names = np.concatenate([rows[active], np.broadcast_to(order[start:end], far.shape)], axis=1)
-            pick = np.argpartition(both, m - 1, axis=1)[:, :m] if both.shape[1] > m else np.argsort(both, axis=1)
-            pick = np.take_along_axis(pick, np.argsort(np.take_along_axis(both, pick, axis=1), axis=1), axis=1)
-            best[active] = np.take_along_axis(both, pick, axis=1)
-            rows[active] = np.take_along_axis(names, pick, axis=1)
+            # A leaf of many equal distances can be long, so it is taken in runs.
+            for start in range(int(kind[1]), int(kind[2]), LEAF):
+                end = min(start + LEAF, int(kind[2]))
+                cosine = queries[active] @ leaves[start:end].T
+                better = (cosine >= best[active, -1:] - slack).any(axis=1)
+                who, cosine = active[better], cosine[better]
+                counted = np.where(single[start:end] & (name[start:end] == own[who][:, None]), -np.inf, cosine)
+                both = np.concatenate([best[who], counted], axis=1)
+                best[who] = -np.sort(np.partition(-both, k - 1, axis=1)[:, :k], axis=1)
+                i, j = np.nonzero(cosine >= best[who, -1:] - slack)
+                held.append((who[i], order[start + j], cosine[i, j]))
+                waiting += len(i)
+                if waiting > PART // 8:
+                    yield from flush()
+                    held, waiting = [], 0
             continue
         d = np.sqrt(np.maximum(((queries[active] - unit[int(kind[0])]) ** 2).sum(axis=1), 0))
         inner = np.maximum(np.maximum(kind[1] - d, d - kind[2]), 0)
@@ -97,7 +124,8 @@ def search(unit: np.ndarray, nodes: np.ndarray, order: np.ndarray, queries: np.n
             if side.any():
                 stack.append((later, active[side], later_bound[side]))
                 stack.append((near, active[side], near_bound[side]))
-    return rows
+    if held:
+        yield from flush()
 
 
 def usable(df: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -126,8 +154,9 @@ def nearest(
 
     Vectors that are null, zero, or hold null or non-finite components take no
     part, nor do rows without an id; vectors of another length are never
-    compared. Ties go to the smaller id. Equal vectors of a shard are one tree
-    entry with its k + 1 smallest ids, which is all that can be asked for. A
+    compared. Ties go to the smaller id, however many there are. Equal vectors of
+    a shard are one tree entry with its 2k first rows by id, at most k of an id:
+    without the query's own id k are left, which is all that can be asked for. A
     query row that occurs twice is answered twice; fewer than k candidates give
     fewer rows, an empty table none.
 
@@ -145,13 +174,17 @@ def nearest(
         v, ids = v[by_vector], ids[by_vector]
         new = np.concatenate([[True], (v[1:] != v[:-1]).any(axis=1)])
         group = np.cumsum(new) - 1
-        place = np.arange(len(ids)) - np.flatnonzero(new)[group]
-        kept = np.full((group[-1] + 1, k + 1), -1, np.int64)
         # The same id twice in a group is the same answer twice: rows are rows.
-        small = place <= k
-        kept[group[small], place[small]] = ids[small]
+        run = np.flatnonzero(np.concatenate([[True], new[1:] | (ids[1:] != ids[:-1])]))
+        copy = np.arange(len(ids)) - np.repeat(run, np.diff(np.append(run, len(ids))))
+        some = copy < k
+        in_group = np.cumsum(some) - 1
+        place = in_group - in_group[np.flatnonzero(new)][group]
+        kept = np.full((group[-1] + 1, 2 * k), -1, np.int64)
         known = np.full(kept.shape, False)
-        known[group[small], place[small]] = True
+        some &= place < 2 * k
+        kept[group[some], place[some]] = ids[some]
+        known[group[some], place[some]] = True
         distinct = v[new]
         order, nodes = grow(distinct / lengths(distinct)[:, None])
         return pd.DataFrame({
@@ -184,30 +217,30 @@ def nearest(
             for r in range(batch.num_rows):
                 get = {name: batch.column(name)[r].as_py() for name in batch.schema.names}
                 v, queries = matrix(get["vectors"], get["dim"]), matrix(get["queries"], get["dim"])
-                ids = np.frombuffer(get["ids"], np.int64).reshape(-1, k + 1)
-                known = np.frombuffer(get["known"], bool).reshape(-1, k + 1)
+                ids = np.frombuffer(get["ids"], np.int64).reshape(-1, 2 * k)
+                known = np.frombuffer(get["known"], bool).reshape(-1, 2 * k)
                 query_ids = np.frombuffer(get["query_ids"], np.int64)
-                unit = v / lengths(v)[:, None]
-                # One more for the query's own vector, two for rounding in the distances.
-                found = search(
-                    unit, np.frombuffer(get["nodes"], np.float64).reshape(-1, 7), np.frombuffer(get["places"], np.int64),
-                    queries / lengths(queries)[:, None], k + 3, factor,
-                )
-                at, column = np.nonzero(found >= 0)
-                hit = found[at, column]
-                score = np.einsum("ij,ij->i", queries[at], v[hit]) / (lengths(queries)[at] * lengths(v)[hit])
-                at, score, hit = np.repeat(at, k + 1), np.repeat(score, k + 1), np.repeat(hit, k + 1)
-                own, ok = ids[hit[:: k + 1]].ravel(), known[hit[:: k + 1]].ravel()
-                ok &= own != query_ids[at]
-                at, score, own = at[ok], score[ok], own[ok]
-                sort = np.lexsort((own, -score, at))
-                at, score, own = at[sort], score[sort], own[sort]
-                place = np.arange(len(at)) - np.searchsorted(at, at)
-                top = place < k
+                long, query_long = lengths(v), lengths(queries)
+                single = ~(known & (ids != ids[:, :1])).any(axis=1)
+                at, score, own = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+                for query, hit in search(
+                    v / long[:, None], np.frombuffer(get["nodes"], np.float64).reshape(-1, 7),
+                    np.frombuffer(get["places"], np.int64), queries / query_long[:, None],
+                    single, ids[:, 0], query_ids, k, factor,
+                ):
+                    cosine = np.einsum("ij,ij->i", queries[query], v[hit]) / (query_long[query] * long[hit])
+                    i, j = np.nonzero(known[hit] & (ids[hit] != query_ids[query][:, None]))
+                    at, score, own = (
+                        np.concatenate(x) for x in ((at, query[i]), (score, cosine[i]), (own, ids[hit[i], j]))
+                    )
+                    sort = np.lexsort((own, -score, at))
+                    at, score, own = at[sort], score[sort], own[sort]
+                    top = np.arange(len(at)) - np.searchsorted(at, at) < k
+                    at, score, own = at[top], score[top], own[top]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([get["block"]] * int(top.sum()), pa.int32()), pa.array(at[top]), pa.array(query_ids[at[top]]),
-                        pa.array(own[top]), pa.array(score[top]), pa.array([get["dim"]] * int(top.sum()), pa.int32()),
+                        pa.array([get["block"]] * len(at), pa.int32()), pa.array(at), pa.array(query_ids[at]),
+                        pa.array(own), pa.array(score), pa.array([get["dim"]] * len(at), pa.int32()),
                     ],
                     names=["block", "at", "query_id", "vec_id", "score", "dim"],
                 )

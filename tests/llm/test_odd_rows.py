@@ -125,6 +125,32 @@ def test_nearest(spark):
     assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in small) == found
 
 
+def test_nearest_keeps_all_ties(spark):
+    """Scaled copies, sign vectors and signed one-hots tie by the dozen; the last
+    cannot be split evenly. An id repeated with one vector hides no other id."""
+    rng = np.random.default_rng(3)
+    signs = rng.choice([-1.0, 1.0], (400, 8)) * 2.0 ** rng.integers(-3, 4, (400, 1))
+    hots = np.concatenate([np.eye(300), -np.eye(300)])
+    tables = [
+        [(i, [2.0 ** (i % 40), 0.0]) for i in range(40)][::-1],
+        [(int(i), v.tolist()) for i, v in zip(rng.permutation(400), signs, strict=True)],
+        [(0, [1.0, 0.0])] * 12 + [(i, [1.0, 0.0]) for i in range(1, 9)],
+        [(0, [1.0, float(i)]) for i in range(12)] + [(i, [-1.0, -float(i)]) for i in range(1, 9)],
+        [(i, v.tolist()) for i, v in enumerate(hots)],
+    ]
+    for rows in tables:
+        table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+        ids, v = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+        score = np.round(v @ v.T / np.outer(np.linalg.norm(v, axis=1), np.linalg.norm(v, axis=1)), 12)
+        wanted = []
+        for q in np.flatnonzero(ids % 50 == 0):
+            best = np.lexsort((ids, -score[q]))
+            best = best[ids[best] != ids[q]][:5]
+            wanted += [(int(ids[q]), rank, int(ids[b])) for rank, b in enumerate(best, start=1)]
+        found = [(r["query_id"], r["rank"], r["vec_id"]) for r in nearest(table).collect()]
+        assert sorted(found) == sorted(wanted)
+
+
 def test_urls(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://A.Net", "http://a.net/x", "x://EXAMPLE.net/en/1", "x://a.example.net/de/", "http://www.bad.com/p/?utm_x=1&b=2&a=1#f", "https://bad.com/p?a=1&b=2", "http://good.com/p", "http://notexample.com/de/", "http://example.com?/de/", "http://f.org/fr/a"]
     pages = spark.createDataFrame([(i, u, 1) for i, u in enumerate(urls)] + [(8, urls[8], 1)], "page_id long, url string, block int")
