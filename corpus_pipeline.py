@@ -19,14 +19,19 @@ from ontime.llm.simhash import drop_near_copies
 
 # A document goes if its language is unknown or less likely than this.
 LEAST_LANGUAGE = 0.5
+# A document goes if its text is further from its language than this: prose of a
+# learned language is seldom below -0.7, random letters, code and other languages
+# are below -1 once some megabytes are learned.
+LEAST_FIT = -1.0
 # A document goes if quality 1 is less likely than this.
 LEAST_QUALITY = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    predicted, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
-    told = identify_language(docs, lacks_remainder("doc_id", 4, 2), predicted=predicted, score=score)
-    return told.filter((F.col(predicted) != UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE)).select(*docs.columns)
+    predicted, score, fit = free_name(docs, "lang_pred"), free_name(docs, "lang_score"), free_name(docs, "lang_fit")
+    told = identify_language(docs, lacks_remainder("doc_id", 4, 2), predicted=predicted, score=score, fit=fit)
+    sure = (F.col(predicted) != UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE) & (F.col(fit) >= LEAST_FIT)
+    return told.filter(sure).select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

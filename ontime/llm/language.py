@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,10 @@ MAX_LABELS = 500
 UNKNOWN = "und"
 # Texts are taken in runs of about this many bytes, which bounds a task's arrays.
 RUN_BYTES = 1_000_000
+# Words with one are numbers, keys, addresses: they tell no language.
+DIGIT = re.compile(r"\d")
+# A text of m n-grams may be 1 + ALLOWANCE / sqrt(m) deviations off for a fit of -1.
+ALLOWANCE = 4
 
 
 def grams(texts: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
@@ -92,7 +97,7 @@ def count_grams(df: DataFrame, text: str, label: str, learn: Column) -> tuple[li
 
 def identify_language(
     df: DataFrame, learn: Column, text: str = "text", label: str = "lang",
-    predicted: str = "lang_pred", score: str = "score",
+    predicted: str = "lang_pred", score: str = "score", fit: str | None = None,
 ) -> DataFrame:
     """The rows with the predicted language and its posterior probability.
 
@@ -101,18 +106,27 @@ def identify_language(
     ``und`` with score 0, as is every text if there is nothing to learn from.
     Equal probabilities go to the first label in order. Repeated rows count as
     often as they occur. All other columns pass through.
+
+    The posterior only compares the learned languages, and is near 1 for any long
+    text. ``fit`` names a column that says whether the text is of the language at
+    all: how many deviations its mean log-probability per n-gram is above that of
+    the language's own n-grams, scaled for short texts, words with digits left
+    out. It is null for ``und``.
     """
     labels, documents, counts = count_grams(df, text, label, learn)
     weights = np.log(counts + SMOOTHING) - np.log((counts + SMOOTHING).sum(axis=0))
     prior = np.log(documents) - np.log(documents.sum()) if labels else np.zeros(0)
-    shared = df.sparkSession.sparkContext.broadcast((labels, prior, weights.astype(np.float32)))
+    chances = np.exp(weights)
+    usual = (chances * weights).sum(axis=0)
+    spread = np.sqrt(np.maximum((chances * weights**2).sum(axis=0) - usual**2, 1e-12))
+    shared = df.sparkSession.sparkContext.broadcast((labels, prior, weights.astype(np.float32), usual, spread))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, before, matrix = shared.value
+        names, before, matrix, middle, width = shared.value
         for batch in batches:
             for part in slices(batch, text, RUN_BYTES):
                 texts = texts_of(part, text)
-                best, chance = [UNKNOWN] * len(texts), np.zeros(len(texts))
+                best, chance, fits = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.full(len(texts), np.nan)
                 told = [i for i, t in enumerate(texts) if names and has_letter(t)]
                 if told:
                     found, sizes = grams([texts[i] for i in told])
@@ -125,6 +139,21 @@ def identify_language(
                     chance[told] = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
                     for i, j in zip(told, top.tolist(), strict=True):
                         best[i] = names[j]
-                yield append_columns(part, [pa.array(best, pa.string()), pa.array(chance)], [predicted, score])
-
-    return df.mapInArrow(run, with_fields(df.schema, [(predicted, T.StringType()), (score, T.DoubleType())]))
+                    if fit:
+                        mean = (total - before)[np.arange(len(told)), top] / sizes
+                        sizes = sizes.astype(np.float64)
+                        for r, i in enumerate(told):
+                            if not DIGIT.search(texts[i]):
+                                continue
+                            words = " ".join(w for w in texts[i].split() if not DIGIT.search(w))
+                            if has_letter(words):
+                                found, _ = grams([words])
+                                mean[r], sizes[r] = matrix[found, top[r]].mean(dtype=np.float64), len(found)
+                        fits[told] = (mean - middle[top]) / (width[top] * (1 + ALLOWANCE / np.sqrt(sizes)))
+                arrays, added = [pa.array(best, pa.string()), pa.array(chance)], [predicted, score]
+                if fit:
+                    arrays, added = [*arrays, pa.array(fits, from_pandas=True)], [*added, fit]
+                yield append_columns(part, arrays, added)
+
+    fields = [(predicted, T.StringType()), (score, T.DoubleType()), *([(fit, T.DoubleType())] if fit else [])]
+    return df.mapInArrow(run, with_fields(df.schema, fields))

@@ -195,6 +195,23 @@ def test_pipeline_stages_by_hand(spark, sf_dir):
     assert result.select("doc_id").distinct().count() > 0.5 * len(texts)
 
 
+def test_language_stage_rejects_foreign_text(spark):
+    """Random letters, code and languages never learned go; learned ones stay, with numbers too."""
+    sf_dir = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(1)
+    noise = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 9))) for _ in range(60))
+    code = "for (int i = 0; i < n; i++) { if (buf[i] == NULL) return -EINVAL; memcpy(&dst[i], src + i, sizeof(*src)); }"
+    russian = "Все люди рождаются свободными и равными в своем достоинстве и правах."
+    french = "Tous les êtres humains naissent libres et égaux en dignité et en droits."
+    added = [(-2, noise), (-3, code * 5), (-4, russian), (-5, french), (-6, french + " 4734663219866878" * 20)]
+    table = docs.unionByName(spark.createDataFrame([(i, t, None) for i, t in added], docs.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, table, sf_dir).select("doc_id").collect()}
+    assert {i for i, _ in added} & kept == {-5, -6}
+    worded = docs.filter("text rlike '\\\\p{L}'").count()
+    assert 0.999 * worded <= len([i for i in kept if i >= 0]) <= worded
+
+
 def test_pipeline_takes_odd_rows(spark, sf_dir, odd_documents):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, odd_documents, sf_dir)
