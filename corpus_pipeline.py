@@ -20,8 +20,8 @@ from ontime.llm.simhash import drop_near_copies
 # A document goes if its language is unknown or less likely than this.
 LEAST_LANGUAGE = 0.5
 # A document goes if its text is further from its language than this: prose of a
-# learned language is seldom below -0.7, random letters, code and other languages
-# are below -1 once some megabytes are learned.
+# learned language is seldom below -0.7; random letters, code and Russian are below
+# -1 with sf0.1 learned. A close relative of a learned language may pass.
 LEAST_FIT = -1.0
 # A document goes if quality 1 is less likely than this.
 LEAST_QUALITY = 0.5
