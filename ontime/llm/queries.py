@@ -12,6 +12,8 @@ from ontime.llm.exact_dedup import exact_groups
 from ontime.llm.interpolation import score_texts
 from ontime.llm.language import identify_language
 from ontime.llm.line_dedup import drop_boilerplate
+from ontime.llm.merkle import fold, leaf_digest, manifest, proof
+from ontime.llm.merkle_sql import MERKLE_SQL, UPPER
 from ontime.llm.packing import pack
 from ontime.llm.quality import THRESHOLD, score_quality
 from ontime.llm.simhash import simhash_components
@@ -86,6 +88,28 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth document, by the checksum of its id, is tampered with."""
+    documents = read_table(spark, sf_dir, "documents")
+    fields = {f: F.col(f) for f in ("doc_id", "source", "lang", "n_chars", "text")}
+    lowered = {**fields, "text": F.translate("text", UPPER, UPPER.lower())}
+    leaves = documents.select(
+        "doc_id",
+        "source",
+        leaf_digest(list(fields.values())).alias("leaf"),
+        F.when(has_remainder("doc_id", 5, 0), leaf_digest(list(lowered.values()))).alias("tampered"),
+    )
+    folded = fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return (
+        manifest(leaves)
+        .withColumn("folded_root", folded)
+        .select(
+            "doc_id", "leaf", "subroot", "root", F.sha2(proof(F.col("path")), 256).alias("proof_sha256"), "folded_root",
+            (F.col("folded_root") == F.col("root")).alias("verified"),
+        )
+    )
+
+
 QUERIES = {
     "op1_packing": packing,
     "op2_url_filter": url_filter,
@@ -97,6 +121,7 @@ QUERIES = {
     "op8_bpe": bpe,
     "op9_simhash": simhash,
     "op10_exact_dedup": exact_dedup,
+    "op12_merkle": merkle,
 }
 
 # Equal texts, the smallest id of each group, and the digest of the normalised text.
@@ -153,4 +178,5 @@ r AS (
   row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept
  FROM d WINDOW g AS (PARTITION BY text_sha256))
 SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM r""",
+    "op12_merkle": MERKLE_SQL,
 }
