@@ -15,6 +15,7 @@ from ontime.llm.line_dedup import drop_boilerplate
 from ontime.llm.merkle import fold, leaf_digest, manifest, proof
 from ontime.llm.merkle_sql import MERKLE_SQL, UPPER
 from ontime.llm.packing import pack
+from ontime.llm.periodic import find_runs
 from ontime.llm.quality import THRESHOLD, score_quality
 from ontime.llm.simhash import simhash_components
 from ontime.llm.url_filter import host_of, judge_urls
@@ -110,6 +111,41 @@ def merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_planted_runs(documents: DataFrame) -> DataFrame:
+    """Every tenth document, by the checksum of its id, repeats a stretch from a word
+    of its own choice to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    split = documents.withColumns({"h": h, "words": F.when(h % 10 == 0, words)})
+    split = split.withColumns({"n": F.size("words").cast("long"), "g": F.floor(F.col("h") / 10)})
+    changed = split.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    changed = changed.withColumn("rest", (F.col("n") - F.col("a")).cast("int"))
+    changed = changed.withColumn("p", (F.floor(F.col("rest") / (F.col("g") % 8 + 3)) + 1).cast("int"))
+    unit = F.slice("words", F.col("a") + 1, F.col("p"))
+    again = F.flatten(F.array_repeat(unit, F.ceil(F.col("rest") / F.col("p")).cast("int")))
+    text = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(again, F.lit(1), F.col("rest"))), " ")
+    return changed.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_runs(with_planted_runs(documents))
+    # The longest run, of those the first, of those the one of the smallest period.
+    order = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    found = found.withColumn("longest", F.array_max(order))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_packing": packing,
     "op2_url_filter": url_filter,
@@ -122,6 +158,7 @@ QUERIES = {
     "op9_simhash": simhash,
     "op10_exact_dedup": exact_dedup,
     "op12_merkle": merkle,
+    "op13_periodic_runs": periodic,
 }
 
 # Equal texts, the smallest id of each group, and the digest of the normalised text.
