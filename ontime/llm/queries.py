@@ -18,6 +18,7 @@ from ontime.llm.packing import pack
 from ontime.llm.periodic import find_runs
 from ontime.llm.quality import THRESHOLD, score_quality
 from ontime.llm.simhash import simhash_components
+from ontime.llm.suffix_dedup import drop_repeats
 from ontime.llm.url_filter import host_of, judge_urls
 from ontime.llm.vptree import nearest
 
@@ -89,6 +90,18 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drop_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["to"] - s["from"])
+    return found.select(
+        "doc_id",
+        (F.octet_length("kept") + removed).alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fifth document, by the checksum of its id, is tampered with."""
     documents = read_table(spark, sf_dir, "documents")
@@ -157,6 +170,7 @@ QUERIES = {
     "op8_bpe": bpe,
     "op9_simhash": simhash,
     "op10_exact_dedup": exact_dedup,
+    "op11_suffix_dedup": suffix_dedup,
     "op12_merkle": merkle,
     "op13_periodic_runs": periodic,
 }
