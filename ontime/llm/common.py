@@ -89,16 +89,21 @@ HASH_BASE = 0x9E3779B97F4A7C15
 HASH_INVERSE = pow(HASH_BASE, -1, 1 << 64)
 MIX_A, MIX_B = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
+# Powers that are kept between calls.
+KEPT_POWERS = 1 << 18
+
 _powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo 2^64, kept between calls."""
+    """base^0 .. base^(n-1) modulo 2^64, a bounded number of them kept."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        have = np.full(max(n, 1 << 16), base, np.uint64)
+        have = np.full(max(n, KEPT_POWERS), base, np.uint64)
         have[0] = 1
-        have = _powers[base] = np.multiply.accumulate(have)
+        have = np.multiply.accumulate(have)
+        if len(have) <= KEPT_POWERS:
+            _powers[base] = have
     return have[:n]
 
 

@@ -21,35 +21,61 @@ SMOOTHING = 0.5
 # there are languages are an error in the table.
 MAX_LABELS = 500
 UNKNOWN = "und"
-# Texts are taken in runs of about this many bytes, which bounds a task's arrays.
+# Texts are taken in runs of about this many bytes, and looked at by so many characters.
 RUN_BYTES = 1_000_000
+BLOCK = 200_000
 # Words with one are numbers, keys, addresses: they tell no language.
 DIGIT = re.compile(r"\d")
 # A text of m n-grams may be 1 + ALLOWANCE / sqrt(m) deviations off for a fit of -1.
 ALLOWANCE = 4
 
 
-def grams(texts: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram buckets of all texts one after the other, and how many each has."""
-    codes = [np.frombuffer(t.lower().encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
+def grams(texts: list[str], buckets: int = BUCKETS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Blocks of n-gram buckets of all texts, and how many of them each text has, in
+    the order of the texts. A long text is cut into parts that overlap, so that the
+    arrays are bounded by BLOCK characters whatever the texts."""
+    parts: list[tuple[int, str, int]] = []  # text, characters, places where a gram may begin
+    size, reach = 0, max(LENGTHS) - 1
+    for i, text in enumerate(texts):
+        lower = text.lower()
+        for at in range(0, len(lower), BLOCK):
+            parts.append((i, lower[at : at + BLOCK + reach], min(BLOCK, len(lower) - at)))
+            size += parts[-1][2]
+            if size >= BLOCK:
+                yield from gram_block(parts, len(texts), buckets)
+                parts, size = [], 0
+    if parts:
+        yield from gram_block(parts, len(texts), buckets)
+
+
+def gram_block(parts: list[tuple[int, str, int]], texts: int, buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    codes = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for _, t, _ in parts]
     lengths = np.array([len(c) for c in codes])
-    flat = np.concatenate(codes).astype(np.uint64) if codes else np.zeros(0, np.uint64)
+    flat = np.concatenate(codes).astype(np.uint64)
     place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    room = np.repeat(lengths, lengths) - place  # characters from here to the text's end
-    owner = np.repeat(np.arange(len(texts)), lengths)
-    found, owners = [], []
+    room = np.repeat(lengths, lengths) - place  # characters from here to the part's end
+    begins = place < np.repeat([n for *_, n in parts], lengths)
+    owner = np.repeat([i for i, *_ in parts], lengths)
     state = np.zeros(len(flat), np.uint64)
     for n in range(1, max(LENGTHS) + 1):
-        keep = np.flatnonzero(room >= n)
+        keep = np.flatnonzero(begins & (room >= n))
         state = state[: len(flat) - n + 1] if n > 1 else state
         state = state * np.uint64(0x100000001B3) + flat[n - 1 :]
-        if n in LENGTHS:
+        if n in LENGTHS and len(keep):
             mixed = (state[keep] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
-            found.append((mixed >> np.uint64(40)).astype(np.int64) % buckets)
-            owners.append(owner[keep])
-    order = np.argsort(np.concatenate(owners), kind="stable")
-    counts = np.bincount(np.concatenate(owners), minlength=len(texts))
-    return np.concatenate(found)[order], counts
+            yield (mixed >> np.uint64(40)).astype(np.int64) % buckets, np.bincount(owner[keep], minlength=texts)
+
+
+def log_chances(texts: list[str], matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, label) sums of the n-grams' log-probabilities, and n-grams per text."""
+    total, sizes = np.zeros((len(texts), matrix.shape[1])), np.zeros(len(texts), np.int64)
+    for found, counts in grams(texts):
+        full = np.flatnonzero(counts)
+        firsts = (np.cumsum(counts) - counts)[full]
+        for j in range(matrix.shape[1]):
+            total[full, j] += np.add.reduceat(matrix[:, j][found], firsts, dtype=np.float64)
+        sizes += counts
+    return total, sizes
 
 
 def has_letter(text: str) -> bool:
@@ -71,9 +97,9 @@ def count_grams(df: DataFrame, text: str, label: str, learn: Column) -> tuple[li
                 texts = texts_of(part, text)
                 for name in set(names):
                     own = [t for t, m in zip(texts, names, strict=True) if m == name]
-                    found, _ = grams(own)
                     into = totals.setdefault(name, np.zeros(BUCKETS + 1, np.int64))
-                    into[:BUCKETS] += np.bincount(found, minlength=BUCKETS)
+                    for found, _ in grams(own):
+                        into[:BUCKETS] += np.bincount(found, minlength=BUCKETS)
                     into[BUCKETS] += len(own)  # the last entry counts documents
         for name, counts in totals.items():
             full = np.flatnonzero(counts)
@@ -105,7 +131,9 @@ def identify_language(
     predicts from the text alone. Null texts and texts without a letter are
     ``und`` with score 0, as is every text if there is nothing to learn from.
     Equal probabilities go to the first label in order. Repeated rows count as
-    often as they occur. All other columns pass through.
+    often as they occur. An empty table gives no rows. Of a long text the arrays
+    hold BLOCK characters at a time. All other columns pass through; one called
+    like a new one is an error.
 
     The posterior only compares the learned languages, and is near 1 for any long
     text. ``fit`` names a column that says whether the text is of the language at
@@ -129,11 +157,7 @@ def identify_language(
                 best, chance, fits = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.full(len(texts), np.nan)
                 told = [i for i, t in enumerate(texts) if names and has_letter(t)]
                 if told:
-                    found, sizes = grams([texts[i] for i in told])
-                    ends = np.cumsum(sizes)
-                    total = np.stack(
-                        [np.add.reduceat(matrix[:, j][found], ends - sizes, dtype=np.float64) for j in range(len(names))], axis=1
-                    )
+                    total, sizes = log_chances([texts[i] for i in told], matrix)
                     total += before
                     top = total.argmax(axis=1)
                     chance[told] = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
@@ -147,8 +171,8 @@ def identify_language(
                                 continue
                             words = " ".join(w for w in texts[i].split() if not DIGIT.search(w))
                             if has_letter(words):
-                                found, _ = grams([words])
-                                mean[r], sizes[r] = matrix[found, top[r]].mean(dtype=np.float64), len(found)
+                                own, count = log_chances([words], matrix[:, top[r] : top[r] + 1])
+                                mean[r], sizes[r] = own[0, 0] / count[0], count[0]
                         fits[told] = (mean - middle[top]) / (width[top] * (1 + ALLOWANCE / np.sqrt(sizes)))
                 arrays, added = [pa.array(best, pa.string()), pa.array(chance)], [predicted, score]
                 if fit:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ontime.llm.bpe import WORDS, Vocabulary
+from ontime.llm.bpe import WORDS, Trie, Vocabulary, read_vocabulary, vocabulary_of
 from ontime.llm.common import materialise, slices, texts_of
 
 WINDOW = 1024
@@ -46,6 +46,21 @@ def encoder(content: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("packing", pat_str=WORDS, mergeable_ranks=v.id_of, special_tokens=v.added)
 
 
+class Encoder:
+    """Ids of a text; what the fast encoder cannot split, a million blanks in a row,
+    goes along the trie."""
+
+    def __init__(self, content: str, unknown: str):
+        self.fast, self.tables, self.trie = encoder(content), (content, unknown), None
+
+    def ids(self, text: str) -> np.ndarray:
+        try:
+            return self.fast.encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            self.trie = self.trie or Trie(vocabulary_of(*self.tables))
+            return np.frombuffer(self.trie.encode(text), "<u4")
+
+
 def combinations(units: int, depth: int) -> list[tuple[int, ...]]:
     """Multisets of at most ``depth`` class sizes that add up to ``units``."""
     out: list[tuple[int, ...]] = []
@@ -156,17 +171,16 @@ def tokenise(df: DataFrame, vocabulary_path: str, doc_id: str, text: str, window
     """Per document: its tokens, the checksums of its full windows, its tail, and
     the tail's class and rank within class and task. Written, so that tasks and
     ranks stay as they are whatever happens later."""
-    with open(vocabulary_path, encoding="utf-8") as f:
-        content = df.sparkSession.sparkContext.broadcast(f.read())
+    content = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(content.value).encode_to_numpy
+        encode = Encoder(*content.value).ids
         task, ranks, windows = TaskContext.get().partitionId(), Counter(), 0
         for batch in batches:
             for part in slices(batch, text):
                 rows: dict[str, list] = {k: [] for k in ("tokens", "full", "first", "tail", "class", "rank")}
                 for t in texts_of(part, text):
-                    ids = np.append(encode(t, allowed_special="all"), END_ID).astype("<u4")
+                    ids = np.append(encode(t), END_ID).astype("<u4")
                     n = len(ids) // window
                     size = -(-(len(ids) - n * window) // unit)
                     rows["tokens"].append(len(ids))
@@ -241,7 +255,7 @@ def pack(
     A document is its tokens and an end id; null is an empty text, one piece of
     that end id. Every row is packed, whatever its id: null and repeated ids give
     as many sets of pieces as rows. Other columns are not carried. An empty table
-    gives no pieces.
+    gives no pieces. A long text makes many full windows; a task holds its ids.
 
     The documents are read once and never shuffled; the class ranks of the tasks
     are added up from (task, class) counts. Only the short tails move, to find

@@ -33,6 +33,8 @@ HIDDEN = 32
 THRESHOLD = 0.7
 SEED = 42
 RUN_BYTES = 2_000_000
+# Bytes that are split into words at a time, and words whose vectors are added up at a time.
+BLOCK, POOLED = 200_000, 1 << 15
 
 SPACE, MARK, LETTER = 0, 1, 2
 
@@ -56,20 +58,40 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return places.astype(np.int64), rng.choice([-1.0, 1.0], (BUCKETS, ENTRIES))
 
 
+def token_parts(data: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(from, to) of parts of BLOCK bytes or so, cut where no word or run of marks is
+    cut; one that is longer makes a part of its own."""
+    at = 0
+    while at < len(data):
+        to = min(at + BLOCK, len(data))
+        while to < len(data):
+            kinds = KINDS[data[at : to + 1]]
+            change = np.flatnonzero(kinds[1:] != kinds[:-1])
+            if len(change):
+                to = at + int(change[-1]) + 1
+                break
+            to = min(to + BLOCK, len(data))
+        yield at, to
+        at = to
+
+
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the words and punctuation runs of all texts, and how many each has."""
     coded = [t.encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b" ".join([*coded, b""]), np.uint8)
-    kinds = KINDS[data]
-    change = np.flatnonzero(np.diff(kinds)) + 1
-    starts = np.concatenate([[0], change]) if len(data) else np.zeros(0, np.int64)
-    ends = np.concatenate([change, [len(data)]]) if len(data) else np.zeros(0, np.int64)
-    solid = kinds[starts] != SPACE
-    starts, ends = starts[solid], ends[solid]
-    buckets = (hash_runs(data, starts, ends) >> np.uint64(49)).astype(np.int64)
+    buckets, places = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for at, to in token_parts(data):
+        part = data[at:to]
+        kinds = KINDS[part]
+        change = np.flatnonzero(np.diff(kinds)) + 1
+        starts, ends = np.concatenate([[0], change]), np.concatenate([change, [len(part)]])
+        solid = kinds[starts] != SPACE
+        starts, ends = starts[solid], ends[solid]
+        buckets.append((hash_runs(part, starts, ends) >> np.uint64(49)).astype(np.int32))
+        places.append(starts + at)
     limits = np.cumsum([len(c) + 1 for c in coded]) if coded else np.zeros(0, np.int64)
-    counts = np.diff(np.searchsorted(starts, limits), prepend=0)
-    return buckets, counts
+    counts = np.diff(np.searchsorted(np.concatenate(places), limits), prepend=0)
+    return np.concatenate(buckets), counts
 
 
 def word_vectors(df: DataFrame, text: str) -> np.ndarray:
@@ -85,6 +107,7 @@ def word_vectors(df: DataFrame, text: str) -> np.ndarray:
         for batch in batches:
             for part in slices(batch, text, RUN_BYTES):
                 words, counts = tokens(texts_of(part, text))
+                words = words.astype(np.int64)
                 owner = np.repeat(np.arange(len(counts)), counts)
                 for gap in range(1, REACH + 1):
                     same = owner[gap:] == owner[:-gap]
@@ -109,10 +132,19 @@ def word_vectors(df: DataFrame, text: str) -> np.ndarray:
 def pool(texts: list[str], vectors: np.ndarray) -> np.ndarray:
     """Mean and spread of the words' vectors and the logarithm of their number."""
     words, counts = tokens(texts)
-    found = vectors[words]
+    sums = np.zeros((2, len(texts), vectors.shape[1]))
+    ends = np.cumsum(counts)
+    for at in range(0, len(words), POOLED):
+        to = min(at + POOLED, len(words))
+        # Words of each text within this block.
+        own = np.clip(ends, at, to) - np.clip(ends - counts, at, to)
+        some = np.flatnonzero(own)
+        found = vectors[words[at:to]]
+        sums[0, some] += segment_sums(found, own[some])
+        sums[1, some] += segment_sums(found * found, own[some])
     n = np.maximum(counts, 1)[:, None]
-    mean = segment_sums(found, counts) / n
-    spread = np.sqrt(np.maximum(segment_sums(found * found, counts) / n - mean * mean, 0))
+    mean = sums[0] / n
+    spread = np.sqrt(np.maximum(sums[1] / n - mean * mean, 0))
     return np.concatenate([mean, spread, np.log1p(counts)[:, None]], axis=1)
 
 
@@ -214,8 +246,10 @@ def score_quality(
     Learns the labels where ``learn`` (over the id) holds. Null texts count as
     empty and get a score like any other. An id labelled more than once has the
     majority's label, 1 in a tie; null ids and labels teach nothing. Labels of
-    one class, or none, give a constant. Repeated rows score alike. All other
-    columns pass through.
+    one class, or none, give a constant. Repeated rows score alike; an empty table
+    gives no rows. A long text is split into words by parts, so a task holds a few
+    numbers per word of it. All other columns pass through; one called like the new
+    one is an error.
     """
     vectors = word_vectors(df, text)
     model = fit(df, labels.filter(learn), vectors, doc_id, text, quality, sample)

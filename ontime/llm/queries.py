@@ -48,7 +48,8 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     out = score_texts(documents, lacks_remainder("doc_id", 10, 0))
-    return out.withColumn("held_out", has_remainder("doc_id", 10, 0))
+    names = [c for c in out.columns if c not in ("doc_id", "text")]
+    return out.select("doc_id", has_remainder("doc_id", 10, 0).alias("held_out"), *names)
 
 
 def vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,12 +211,12 @@ WITH p AS (
    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
   list_filter(list_transform(string_split(regexp_replace(regexp_replace(coalesce(html, ''),
    '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', chr(10), 'g'),
-   '(?s)<[^>]*>', chr(10), 'g'), chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '') AS lines
+   '(?s)<[^>]*>', chr(10), 'g'), chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13))), lambda x: x <> '') AS lines
  FROM pages),
 t AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
 x AS (SELECT host, k, unnest(list_distinct(lines)) AS line FROM p),
 n AS (SELECT host, line, count(*) AS n FROM x GROUP BY host, line),
-b AS (SELECT host, list(line) AS common FROM n JOIN t USING (host) WHERE n >= 3 AND n > pages * 0.3 GROUP BY host),
+b AS (SELECT host, list(line) AS common FROM n JOIN t USING (host) WHERE n >= 2 AND n > pages * 0.1 GROUP BY host),
 j AS (
  SELECT p.*, list_filter(lines, lambda x: NOT list_contains(coalesce(common, []), x)) AS kept
  FROM p LEFT JOIN b USING (host))

@@ -176,6 +176,19 @@ def test_lines(spark):
     assert got[0] == (2, 1, "one") and got[1] == (3, 2, "two\ntwo") and got[2] == (1, 0, "") and got[4] == got[5] == (0, 0, "")
     assert got[9] == (1, 1, "menu")
     assert drop_boilerplate(pages.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="text"):
+        drop_boilerplate(pages.withColumn("Text", F.lit(1)))
+
+
+def test_lines_of_small_hosts_and_crlf(spark):
+    """Two pages of two with a line are boilerplate, one page of one is not; a carriage return is no part of a line."""
+    rows = [(0, "http://two.com/a", "menu\r\n\tone\r\n\r\n"), (1, "http://two.com/b", "<b>menu</b>\n two"), (2, "http://one.com/", "menu"), (2, "http://two.com/c", "menu")]
+    rows += [(10 + i, "http://ten.com/", f"line {i}\n" * 2000 + ("half" if i < 2 else "")) for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r["page_id"], r["host"], r["n_lines"], r["text"][:10]) for r in drop_boilerplate(pages).collect() if r["page_id"] < 10)
+    assert got == [(0, "two.com", 2, "one"), (1, "two.com", 2, "two"), (2, "one.com", 1, "menu"), (2, "two.com", 1, "")]
+    kept = {r["page_id"]: r["n_kept"] for r in drop_boilerplate(pages).collect() if r["page_id"] >= 10}
+    assert kept == {10 + i: 2001 if i < 2 else 2000 for i in range(20)}  # two pages of twenty are not more than a tenth
 
 
 def test_pipeline_stages_by_hand(spark, sf_dir):

@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from ontime.llm.packing import Plan, combinations, nnls, pack
+from ontime.llm.bpe import read_vocabulary
+from ontime.llm.packing import Encoder, Plan, combinations, nnls, pack
 from ontime.llm.queries import QUERIES, VOCABULARY
 
 
@@ -78,3 +79,10 @@ def test_plan_places_every_rank_once(histogram):
     units = sum(k * n for k, n in histogram.items())
     assert plan.sequences == -(-units // 256)
     assert len(plan.runs) < 50_000
+
+
+@pytest.mark.parametrize("run", [" " * 1_100_000, "\n" * 1_100_000, " \n\t" * 400_000])
+def test_runs_that_the_fast_encoder_cannot_split(run):
+    text = f"one{run}two  three"
+    ids = Encoder(*read_vocabulary(VOCABULARY)).ids(text).tolist()
+    assert ids == Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids
