@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ontime.sources.footers import footer_columns, lacking
+
 
 def landing_inventory(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     """One row per landing file: name, path, size and time. File contents are
@@ -22,10 +23,6 @@ def landing_inventory(spark: SparkSession, path: str, glob: str = "*.parquet") -
     )
 
 
-# Footers read at a time.
-FOOTERS = 16
-
-
 def missing_columns(
     spark: SparkSession,
     path: str,
@@ -35,20 +32,18 @@ def missing_columns(
 ) -> dict[str, list[str]]:
     """The landing files that lack some of ``columns``, with what they lack.
 
-    One footer is read per file; names are compared as Spark compares them.
+    Tasks read the footers, in one job; names are compared as Spark compares them.
     """
     listed = landing_inventory(spark, path, glob)
     if last_file is not None:
         listed = listed.filter(F.col("file_name") <= last_file)
-    # A listing: the driver holds it for any scan of the folder.
-    files = sorted(row["path"] for row in listed.select("path").collect())
+    found = lacking(footer_columns(listed), list(columns))
+    return {row["path"]: row["lacks"] for row in found.orderBy("path").collect()}
 
-    def lacking(file: str) -> list[str]:
-        have = {c.lower() for c in spark.read.parquet(file).columns}
-        return [c for c in columns if c.lower() not in have]
 
-    with ThreadPoolExecutor(FOOTERS) as pool:
-        return {file: lacks for file, lacks in zip(files, pool.map(lacking, files), strict=True) if lacks}
+def refuse(missing: dict[str, list[str]]) -> None:
+    if missing:
+        raise ValueError("; ".join(f"{file} lacks {', '.join(lacks)}" for file, lacks in missing.items()))
 
 
 def read_landing(
@@ -73,9 +68,7 @@ def read_landing(
     cells would be null, and a null filter would drop the file without a word.
     """
     if required:
-        missing = missing_columns(spark, path, required, last_file, glob)
-        if missing:
-            raise ValueError("; ".join(f"{file} lacks {', '.join(lacks)}" for file, lacks in missing.items()))
+        refuse(missing_columns(spark, path, required, last_file, glob))
     reader = spark.read.option("pathGlobFilter", glob).option("mergeSchema", merge_schema)
     if schema is not None:
         reader = reader.schema(schema)
@@ -86,6 +79,12 @@ def read_landing(
     return table.select("*", file_name.alias("source_file")) if tag_source else table
 
 
+def read_files(spark: SparkSession, paths: Sequence[str], schema: StructType | str | None = None) -> DataFrame:
+    """The given files as one table, tagged with ``source_file``."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(*paths).select("*", F.col("_metadata.file_name").alias("source_file"))
+
+
 def read_cleaned(
     spark: SparkSession, path: str, schema: StructType | str | None = None, merge_schema: bool = False
 ) -> DataFrame:

@@ -20,9 +20,13 @@ def write_zone(
     zone: str,
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
+    only_touched: bool = False,
 ) -> str:
     """Write ``df`` as Parquet below ``root/zone`` and return that path.
 
+    ``only_touched`` overwrites the partitions that ``df`` has rows of and leaves
+    the others as they are.
+
     No shuffle precedes the write. A task that reads a slice of one landing file
     writes into that file's folder only, so ``partition_by=["source_file"]``
     keeps one output folder per input at no extra cost.
@@ -31,10 +35,21 @@ def write_zone(
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if only_touched:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
     return path
 
 
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
+    """Delete the folders of the given values of a partition column."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    catalog = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for value in values:
+        folder = hadoop.Path(path, f"{column}={catalog.escapePathName(value)}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_zone(spark: SparkSession, root: str, zone: str) -> DataFrame:
     return spark.read.parquet(_join(root, zone))
 

@@ -1,0 +1,126 @@
+"""The cleaning job over a landing folder that grows, changes and is interrupted."""
+
+import time
+from pathlib import Path
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from ontime import config
+from ontime.plans import cleaning, cleaning_job
+from ontime.plans.flights import ROW_KEY
+from ontime.queries import stages
+from ontime.sources import due_files, footer_columns, lacking, landing_inventory, last_notes, read_notes
+
+
+@pytest.fixture
+def records(spark, sf_dir):
+    return stages.raw(spark, sf_dir).filter(F.col("ActualElapsedTime") >= 0).limit(240).toArrow()
+
+
+@pytest.fixture
+def root(tmp_path, records):
+    (tmp_path / "landing").mkdir()
+    for i in range(3):
+        put(tmp_path, f"f{i}", records.slice(40 * i, 40))
+    return tmp_path
+
+
+def put(root, name, table):
+    pq.write_table(table, root / "landing" / f"{name}.parquet")
+
+
+def folders(root):
+    """Name and newest time of each output folder, and its rows."""
+    out = {}
+    for folder in (root / "cleaned").glob("source_file=*"):
+        files = list(folder.glob("*.parquet"))
+        out[folder.name.split("=")[1]] = (max(f.stat().st_mtime_ns for f in files), sum(pq.read_metadata(f).num_rows for f in files))
+    return out
+
+
+def run(spark, root, **options):
+    return cleaning_job(spark, str(root), schema=None, carry=[ROW_KEY], **options).files
+
+
+def test_only_new_and_changed_files_are_written(spark, root, records):
+    names = [f"f{i}.parquet" for i in range(3)]
+    assert run(spark, root) == names
+    before = folders(root)
+    assert set(before) == set(names)
+    assert run(spark, root) == [] and folders(root) == before
+    time.sleep(0.02)
+    put(root, "f1", records.slice(120, 70))
+    put(root, "f9", records.slice(190, 20))
+    assert run(spark, root) == ["f1.parquet", "f9.parquet"]
+    after = folders(root)
+    assert {n for n in after if after[n] != before.get(n)} == {"f1.parquet", "f9.parquet"}
+    clean = {n: v[1] for n, v in after.items()}
+    assert clean["f1.parquet"] > before["f1.parquet"][1] and clean["f0.parquet"] == before["f0.parquet"][1]
+    # Only up to the first file: nothing is due, and nothing goes.
+    assert run(spark, root, last_file="f0.parquet") == [] and folders(root) == after
+
+
+def test_a_changed_file_without_clean_rows_leaves_nothing(spark, root, records):
+    run(spark, root)
+    at = records.schema.get_field_index("ActualElapsedTime")
+    broken = records.slice(0, 10).set_column(at, records.schema.field(at), pa.array([-1.0] * 10, records.schema.field(at).type))
+    put(root, "f2", broken)
+    put(root, "f3", broken)
+    assert run(spark, root) == ["f2.parquet", "f3.parquet"]
+    assert set(folders(root)) == {"f0.parquet", "f1.parquet"}
+    assert run(spark, root) == []
+
+
+def test_a_killed_run_goes_on(spark, root, monkeypatch):
+    """Two files a batch; the second batch dies after its write, before its note."""
+    noted = []
+
+    def dies(files, path, number, state):
+        noted.append((number, state))
+        if noted.count((1, "done")) == 2:
+            raise RuntimeError("killed")
+        return write_note(files, path, number, state)
+
+    write_note = cleaning.note
+    for i in range(3, 5):
+        put(root, f"f{i}", pq.read_table(root / "landing" / "f0.parquet").slice(i, 30))
+    monkeypatch.setattr(cleaning, "note", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        run(spark, root, batch_files=2)
+    before = folders(root)
+    monkeypatch.setattr(cleaning, "note", write_note)
+    assert run(spark, root, batch_files=2) == ["f2.parquet", "f3.parquet", "f4.parquet"]
+    after = folders(root)
+    assert len(after) == 5 and all(after[n] == before[n] for n in ("f0.parquet", "f1.parquet"))
+    notes = read_notes(spark, f"{root}/ledger")
+    last = {r["file_name"]: (r["run"], r["state"]) for r in last_notes(notes).collect()}
+    assert last == {f"f{i}.parquet": (1 if i < 2 else 2, "done") for i in range(5)}
+    assert all(set(config.FLIGHT_COLUMNS) <= set(r["columns"]) for r in last_notes(notes).collect())
+
+
+def test_a_file_that_lacks_a_column_stops_the_run(spark, root, records):
+    run(spark, root)
+    before = folders(root)
+    put(root, "f7", records.slice(0, 5))
+    put(root, "f8", records.slice(0, 5).drop_columns(["Dest", "TaxiIn"]))
+    with pytest.raises(ValueError, match="f8.parquet lacks Dest, TaxiIn"):
+        run(spark, root)
+    assert folders(root) == before and len(list((root / "ledger").glob("*.parquet"))) == 2
+    listing = landing_inventory(spark, f"{root}/landing")
+    assert sorted(r["file_name"] for r in due_files(listing, read_notes(spark, f"{root}/ledger")).collect()) == ["f7.parquet", "f8.parquet"]
+
+
+def test_footers_of_many_files(spark, tmp_path):
+    """Real files for some, the same ones many times over for the rest."""
+    for i in range(20):
+        pq.write_table(pa.table({"A": [1], "b": [2.0], **({"c": ["x"]} if i % 2 else {})}), tmp_path / f"{i}.parquet")
+    paths = [f"file:{Path(tmp_path)}/./{'./' * (k // 20)}{k % 20}.parquet" for k in range(400)]
+    files = spark.createDataFrame([(p,) for p in paths], "path string")
+    found = footer_columns(files)
+    assert found.count() == len(paths)
+    lacks = {r["path"]: r["lacks"] for r in lacking(found, ["a", "C"]).collect()}
+    assert set(lacks) == {p for k, p in enumerate(paths) if k % 2 == 0} and set(map(tuple, lacks.values())) == {("C",)}
+    assert footer_columns(files.limit(0)).count() == 0
