@@ -21,9 +21,13 @@ from ontime.operators.evaluate import (
     auc,
     auc_exact,
     classification_metrics,
+    compare_fitted,
     compare_models,
+    evaluate_models,
     confusion_matrix,
+    roc_curves,
     roc_points,
+    score_models,
 )
 from ontime.operators.filters import (
     at_least,

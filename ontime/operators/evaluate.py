@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
+from pyspark.ml import Model
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -138,12 +140,96 @@ def roc_points(
     )
 
 
+# Steps of a probability: within one, scores are told apart exactly.
+STEPS = 1 << 20
+
+
+def score_models(models: dict[str, Model], df: DataFrame, keep: Sequence[str] = ("label",)) -> DataFrame:
+    """(model, *keep, score, prediction): every row under every model, from one scan.
+
+    The models add their columns one after the other to the same row, which is
+    then taken apart.
+    """
+    table, parts = df, []
+    for i, name in enumerate(models):
+        table = with_score(models[name].transform(table), f"_score{i}").withColumnRenamed("prediction", f"_prediction{i}")
+        table = table.drop("rawPrediction", "probability")
+        parts.append(F.struct(F.lit(name).alias("model"), F.col(f"_score{i}").alias("score"), F.col(f"_prediction{i}").alias("prediction")))
+    return table.select(*keep, F.explode(F.array(*parts)).alias("_row")).select("_row.model", *keep, "_row.score", "_row.prediction")
+
+
+def _probability(score: Column) -> Column:
+    message = F.raise_error(F.lit("scores have to be probabilities")).cast("double")
+    return F.when(score.between(0, 1), score).otherwise(message)
+
+
+def _counters(scored: DataFrame, bins: int) -> DataFrame:
+    """(model, step, score, tn, fp, fn, tp): rows per model and distinct score."""
+    label, prediction = F.col("label"), F.col("prediction")
+    known = label.isin(0, 1) & prediction.isin(0, 1)
+    wrong = F.raise_error(F.lit("labels and predictions have to be 0 or 1")).cast("double")
+    cells = scored.select("model", _probability(F.col("score")).alias("score"), F.when(F.coalesce(known, F.lit(False)), label * 2 + prediction).otherwise(wrong).alias("cell"))
+    step = F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).alias("step")
+    counts = [F.count_if(F.col("cell") == i).alias(name) for i, name in enumerate(("tn", "fp", "fn", "tp"))]
+    return cells.groupBy("model", step, "score").agg(*counts)
+
+
+def evaluate_models(scored: DataFrame) -> DataFrame:
+    """(model, accuracy, precision, recall, f1, auc) from (model, label, score,
+    prediction) rows whose scores are probabilities; one scan for all models.
+
+    Each model's rows become counters per distinct score. The area is exact: pairs of
+    scores in different steps are counted from the steps' totals, of which there are
+    ``STEPS`` per model at most, pairs within a step by a window over its scores.
+    Steps are a function of the score, so there are no boundaries to agree on and
+    nothing is written. A ratio without a denominator is null, as is the area of one
+    class. Labels or predictions other than 0 and 1 are an error.
+    """
+    pos, neg = (F.col("tp") + F.col("fn")).cast("double"), (F.col("tn") + F.col("fp")).cast("double")
+    smaller = Window.partitionBy("model", "step").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    within = _counters(scored, STEPS).withColumn("pairs", pos * (F.coalesce(F.sum(neg).over(smaller), F.lit(0.0)) + neg / 2))
+    cells = ("tn", "fp", "fn", "tp")
+    steps = within.groupBy("model", "step").agg(F.sum("pairs").alias("pairs"), *[F.sum(c).alias(c) for c in cells])
+    lower = Window.partitionBy("model").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    between = steps.withColumn("pairs", F.col("pairs") + pos * F.coalesce(F.sum(neg).over(lower), F.lit(0.0)))
+    totals = between.groupBy("model").agg(F.sum("pairs").alias("pairs"), *[F.sum(c).alias(c) for c in cells])
+    tn, fp, fn, tp = (F.col(c) for c in cells)
+    ratios = totals.select(
+        "model",
+        F.try_divide(tp + tn, tp + tn + fp + fn).alias("accuracy"),
+        F.try_divide(tp, tp + fp).alias("precision"),
+        F.try_divide(tp, tp + fn).alias("recall"),
+        F.try_divide("pairs", pos * neg).alias("auc"),
+    )
+    p, r = F.col("precision"), F.col("recall")
+    return ratios.withColumn("f1", F.try_divide(2 * p * r, p + r)).select("model", "accuracy", "precision", "recall", "f1", "auc")
+
+
+def roc_curves(scored: DataFrame, bins: int = 1000) -> DataFrame:
+    """(model, threshold, fpr, tpr) of the rule score >= threshold per model, from
+    (0, 0) at a threshold above 1; ``bins + 1`` points a model at most, one scan."""
+    pos, neg = F.col("tp") + F.col("fn"), F.col("tn") + F.col("fp")
+    steps = _counters(scored, bins).groupBy("model", "step").agg(F.sum(pos).alias("pos"), F.sum(neg).alias("neg"))
+    whole = Window.partitionBy("model")
+    higher = whole.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
+    points = steps.select(
+        "model",
+        (F.col("step") / bins).alias("threshold"),
+        F.try_divide(F.sum("neg").over(higher), F.sum("neg").over(whole)).alias("fpr"),
+        F.try_divide(F.sum("pos").over(higher), F.sum("pos").over(whole)).alias("tpr"),
+    )
+    start = steps.select("model").distinct().select("model", F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return points.unionByName(start)
+
+
 def compare_models(predictions: dict[str, DataFrame]) -> DataFrame:
-    """(model, accuracy, precision, recall, f1, auc), one row per model."""
-    metrics, areas = [], []
-    for name, table in predictions.items():
-        metrics.append(classification_metrics(table).withColumn("model", F.lit(name)))
-        areas.append(auc_exact(with_score(table)).withColumn("model", F.lit(name)))
-    # One row per model on both sides.
-    joined = reduce(DataFrame.unionByName, metrics).join(reduce(DataFrame.unionByName, areas), "model")
-    return joined.select("model", "accuracy", "precision", "recall", "f1", "auc")
+    """(model, accuracy, precision, recall, f1, auc), one row per table of predictions."""
+    tables = [
+        with_score(table).select(F.lit(name).alias("model"), "label", "score", "prediction") for name, table in predictions.items()
+    ]
+    return evaluate_models(reduce(DataFrame.unionByName, tables))
+
+
+def compare_fitted(models: dict[str, Model], df: DataFrame) -> DataFrame:
+    """``compare_models`` of fitted models on one table, which is scanned once."""
+    return evaluate_models(score_models(models, df))

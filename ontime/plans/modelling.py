@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ontime.operators import (
-    compare_models,
+    compare_fitted,
     grid_search,
-    predict,
     train_forest,
     train_logistic,
 )
@@ -36,4 +35,4 @@ def model_job(
     }
     for name, model in models.items():
         save_model(model, f"{root.rstrip('/')}/models/{name}")
-    return compare_models({name: predict(model, test) for name, model in models.items()})
+    return compare_fitted(models, test)

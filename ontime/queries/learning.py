@@ -19,15 +19,18 @@ from ontime.operators import (
     chi_square,
     chi_square_named,
     coefficients,
-    compare_models,
+    compare_fitted,
     feature_names,
     feature_pipeline,
     grid_scores,
     min_max,
+    model_params,
     named_coefficients,
     named_importances,
     one_hot,
     predict,
+    roc_curves,
+    score_models,
     string_indexer,
     top_bottom,
     with_score,
@@ -261,15 +264,52 @@ def auc_model(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def model_comparison(spark: SparkSession, d: str) -> DataFrame:
-    """Per model: rows, late rows, and whether the ratios are those of whole cell counts."""
-    test = stages.trusted(spark, d)[1]
-    models = {
+def fitted_models(spark: SparkSession, d: str) -> dict:
+    return {
         "logistic": stages.logistic(spark, d),
-        "tuned_logistic": stages.search(spark, d),
+        "tuned_logistic": stages.search(spark, d).bestModel,
         "forest": stages.forest(spark, d),
     }
-    compared = compare_models({name: predict(model, test) for name, model in models.items()})
+
+
+def model_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """The measures of the three models on the test rows."""
+    return compare_fitted(fitted_models(spark, d), stages.trusted(spark, d)[1])
+
+
+def tuned_curve(spark: SparkSession, d: str) -> DataFrame:
+    """ROC of the tuned model on its training rows."""
+    tuned = {"tuned_logistic": fitted_models(spark, d)["tuned_logistic"]}
+    return roc_curves(score_models(tuned, stages.trusted(spark, d)[0]))
+
+
+def tuned_curve_ends(spark: SparkSession, d: str) -> DataFrame:
+    """Where the tuned model's curve begins and ends, that it never falls, and that a
+    point's rates are those of whole numbers of the training rows."""
+    points = tuned_curve(spark, d).drop("model")
+    before = Window.orderBy(F.desc("threshold"))  # at most 1001 points
+    steps = points.withColumns({"dx": F.col("fpr") - F.lag("fpr").over(before), "dy": F.col("tpr") - F.lag("tpr").over(before)})
+    size = stages.trusted(spark, d)[0].agg(F.count("*").alias("n"), F.sum(F.col("label").cast("bigint")).alias("late")).first()
+    late, on_time = F.col("tpr") * size.late, F.col("fpr") * (size.n - size.late)
+    whole = (F.abs(late - F.round(late)) < 1e-6) & (F.abs(on_time - F.round(on_time)) < 1e-6)
+    first = F.min_by(F.struct("fpr", "tpr"), -F.col("threshold"))
+    last = F.min_by(F.struct("fpr", "tpr"), "threshold")
+    return steps.agg(
+        first["fpr"].alias("first_fpr"), first["tpr"].alias("first_tpr"), last["fpr"].alias("last_fpr"), last["tpr"].alias("last_tpr"),
+        (F.min("dx") >= 0).alias("fpr_rises"), (F.min("dy") >= 0).alias("tpr_rises"), F.bool_and(whole).alias("whole_rows"),
+        F.lit(size.late).cast("bigint").alias("n_late"), F.lit(size.n - size.late).cast("bigint").alias("n_on_time"),
+    )
+
+
+def tuned_params(spark: SparkSession, d: str) -> DataFrame:
+    """All parameters of the best model of the search, defaults included."""
+    return model_params(stages.search(spark, d).bestModel.stages[0])
+
+
+def model_comparison(spark: SparkSession, d: str) -> DataFrame:
+    """Per model: rows, late rows, and whether the ratios are those of whole cell counts."""
+    test = stages.trusted(spark, d)[1]
+    compared = model_metrics(spark, d)
     size = test.agg(F.count("*").alias("n"), F.sum(F.col("label").cast("bigint")).alias("late")).first()
     right, hits = F.col("accuracy") * size.n, F.col("recall") * size.late
     return compared.select(
@@ -310,4 +350,8 @@ QUERIES = {
     # Evaluation
     "auc_model": auc_model,
     "model_comparison": model_comparison,
+    "model_metrics": model_metrics,
+    "roc_tuned": tuned_curve,
+    "roc_tuned_ends": tuned_curve_ends,
+    "tuned_params": tuned_params,
 }

@@ -311,6 +311,7 @@ def _vectors(source: str, rows: str) -> str:
     return query("parted", body, extra)
 
 
+EARLY_YEARS = 1998
 PART_SIZES = query(
     "parted",
     f"""SELECT CASE WHEN part = 0 THEN 'train' ELSE 'test' END AS part, count(*) AS n_rows,
@@ -657,4 +658,15 @@ ORACLE = {
         """SELECT model, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_late, true AS whole_cells, true AS auc_in_range
         FROM parted, (VALUES ('logistic'), ('tuned_logistic'), ('forest')) m(model) WHERE part = 1 GROUP BY model""",
     ),
+    "roc_tuned_ends": query(
+        "parted",
+        """SELECT 0.0::DOUBLE AS first_fpr, 0.0::DOUBLE AS first_tpr, 1.0::DOUBLE AS last_fpr, 1.0::DOUBLE AS last_tpr, true AS fpr_rises, true AS tpr_rises,
+        true AS whole_rows, count(*) FILTER (WHERE label = 1) AS n_late, count(*) FILTER (WHERE label = 0) AS n_on_time FROM parted WHERE part = 0""",
+    ),
+    "incremental_cleaning": query(
+        "cleaned",
+        f"""SELECT CASE WHEN Year < {EARLY_YEARS} THEN 1 ELSE 2 END AS run, count(*) AS n_rows, min(Year) AS first_year, max(Year) AS last_year,
+        count(DISTINCT {KEY}) AS n_keys, 0::BIGINT AS n_rewritten FROM cleaned GROUP BY 1""",
+    ),
+    "scan_landing_folder": query("flights", _no_dates("flights")),
 }

@@ -61,16 +61,21 @@ from ontime.operators.filters import at_least, has_values
 from ontime.operators.profile import numeric_counts
 from ontime.operators.projection import numeric_columns
 from ontime.plans import cleaning_job
+from ontime.plans.cleaning import CLEANED, LANDING
 from ontime.plans.flights import ROW_KEY
 from ontime.queries import stages
 from ontime.session import new_folder
 from ontime.sources import (
     landing_inventory,
+    last_notes,
     read_chart,
     read_cleaned,
     read_landing,
+    read_notes,
     write_chart,
+    write_zone,
 )
+from ontime.sources.ledger import LEDGER
 
 CATEGORIES = [*config.STRING_CATEGORIES, *config.INTEGER_CATEGORIES]
 HISTOGRAM_COLUMNS = ["ActualElapsedTime", "ArrDelayMinutes", "DepDelay", "CRSDepTime"]
@@ -78,6 +83,8 @@ SCATTER_BINS = 50
 SKETCH_ACCURACY = 10_000
 TIMES = ("CRSArrTime", "CRSDepTime")
 LAST_FILE = "lineitem.parquet"
+# Flights of earlier years land first.
+EARLY_YEARS = 1998
 NULLABLE = ["DepTime", "DepDelay", "ArrTime", "ArrDelay", "AirTime"]
 
 
@@ -170,6 +177,34 @@ def write_cleaned(spark: SparkSession, d: str) -> DataFrame:
     return select_columns(table, [*config.FLIGHT_COLUMNS, ROW_KEY])
 
 
+def scan_landing_folder(spark: SparkSession, d: str) -> DataFrame:
+    """Every file of a landing folder as one table."""
+    schema = stages.raw(spark, d).schema
+    files = read_landing(spark, f"{stages.work_folder(spark, d)}/{LANDING}", schema=schema, required=schema.names)
+    return dates_as_text(files.drop("source_file"))
+
+
+def incremental_cleaning(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs of the cleaning job over a landing folder that grows in between: what
+    each has cleaned, and how many files of the first run the second one wrote anew."""
+    root, rows = new_folder(spark, "incremental"), stages.raw(spark, d)
+    early = F.coalesce(F.col("Year") < EARLY_YEARS, F.lit(False))
+    written = []
+    for arrived, mode in ((rows.filter(early), "overwrite"), (rows.filter(~early), "append")):
+        write_zone(arrived, root, LANDING, mode=mode)
+        written.append(set(cleaning_job(spark, root, schema=rows.schema, carry=[ROW_KEY]).files))
+    runs = last_notes(read_notes(spark, f"{root}/{LEDGER}")).select(F.col("file_name").alias("source_file"), "run")
+    return (
+        read_cleaned(spark, f"{root}/{CLEANED}")
+        .join(runs, "source_file")
+        .groupBy("run")
+        .agg(
+            F.count("*").alias("n_rows"), F.min("Year").alias("first_year"), F.max("Year").alias("last_year"),
+            F.count_distinct(ROW_KEY).alias("n_keys"), F.lit(len(written[0] & written[1])).cast("bigint").alias("n_rewritten"),
+        )
+    )
+
+
 def chart_sink(spark: SparkSession, d: str) -> DataFrame:
     root = new_folder(spark, "charts")
     chart = bar_counts(stages.featured(spark, d), "ScheduledDepTimeOfDay")
@@ -226,6 +261,8 @@ QUERIES = {
     "scan_cleaned": scan_cleaned,
     "scan_until": scan_until,
     "write_cleaned": write_cleaned,
+    "scan_landing_folder": scan_landing_folder,
+    "incremental_cleaning": incremental_cleaning,
     "chart_sink": chart_sink,
     "shape_profile": lambda s, d: shape_profile(stages.raw(s, d)),
     # Projections
