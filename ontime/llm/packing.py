@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ontime.llm.bpe import WORDS, Trie, Vocabulary, read_vocabulary, vocabulary_of
+from ontime.llm.bpe import WORDS, Trie, Vocabulary, unknown_letters, vocabulary_of
 from ontime.llm.common import materialise, slices, texts_of
 
 WINDOW = 1024
@@ -48,16 +48,16 @@ def encoder(content: str) -> tiktoken.Encoding:
 
 class Encoder:
     """Ids of a text; what the fast encoder cannot split, a million blanks in a row,
-    goes along the trie."""
+    goes along the trie, whose tables are made when such a text is met."""
 
-    def __init__(self, content: str, unknown: str):
-        self.fast, self.tables, self.trie = encoder(content), (content, unknown), None
+    def __init__(self, content: str):
+        self.fast, self.content, self.trie = encoder(content), content, None
 
     def ids(self, text: str) -> np.ndarray:
         try:
             return self.fast.encode_to_numpy(text, allowed_special="all")
         except ValueError:
-            self.trie = self.trie or Trie(vocabulary_of(*self.tables))
+            self.trie = self.trie or Trie(vocabulary_of(self.content, unknown_letters()))
             return np.frombuffer(self.trie.encode(text), "<u4")
 
 
@@ -171,10 +171,11 @@ def tokenise(df: DataFrame, vocabulary_path: str, doc_id: str, text: str, window
     """Per document: its tokens, the checksums of its full windows, its tail, and
     the tail's class and rank within class and task. Written, so that tasks and
     ranks stay as they are whatever happens later."""
-    content = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
+    with open(vocabulary_path, encoding="utf-8") as f:
+        content = df.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(*content.value).ids
+        encode = Encoder(content.value).ids
         task, ranks, windows = TaskContext.get().partitionId(), Counter(), 0
         for batch in batches:
             for part in slices(batch, text):
