@@ -131,26 +131,69 @@ def chi_square_onehot(
     return counts.select(feature.alias("feature"), reduce(add, cells).alias("statistic"), dof.cast("int").alias("dof"))
 
 
-def chi_square(df: DataFrame, features: str = FEATURES, label: str = "label") -> DataFrame:
+def _slot_cells(vector: Column) -> Column:
+    """(idx, value) of the cells of a vector that are not zero. A sparse vector says
+    where they are; its zeros are never made."""
+    plain = F.unwrap_udt(vector)
+    given = F.zip_with(plain["indices"], plain["values"], lambda i, x: F.struct(i.alias("idx"), x.alias("value")))
+    every = F.transform(plain["values"], lambda x, i: F.struct(i.alias("idx"), x.alias("value")))
+    return F.filter(F.when(plain["type"] == 0, given).otherwise(every), lambda cell: cell["value"] != 0)
+
+
+def continuous_slots(df: DataFrame, features: str = FEATURES) -> list[int]:
+    """The slots that hold measures, by the column's metadata."""
+    return sorted(row["idx"] for row in feature_names(df, features).filter("kind = 'numeric'").collect())
+
+
+def slot_quantiles(df: DataFrame, slots: Sequence[int], bins: int, features: str = FEATURES) -> dict[int, list[float]]:
+    """The inner bounds of ``bins`` ranges with about as many rows each, per slot,
+    equal ones once. One pass; the driver gets ``bins - 1`` numbers per slot."""
+    shares = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    values = vector_to_array(features)
+    found = df.agg(*[F.percentile_approx(values[i], shares, 100 * bins).alias(str(i)) for i in slots]).first()
+    return {i: sorted(set(found[str(i)] or ())) for i in slots}
+
+
+def chi_square(
+    df: DataFrame, features: str = FEATURES, label: str = "label", bins: int | None = None, continuous: Sequence[int] | None = None
+) -> DataFrame:
     """(idx, statistic, p_value, dof) per slot of the feature vector.
 
-    Every distinct value of a slot is a category, however many there are. Only
-    the cells that are not zero are counted, one row per slot, value and label
-    and task; the zeros of a slot are what is missing of the label's rows. The
-    result has one row per slot and is brought to the driver for its p values.
+    Every distinct value of a slot is a category, however many there are. With
+    ``bins`` the values of the ``continuous`` slots (by default those of measures)
+    fall into that many quantile ranges first: a category per value of a measure
+    says little, as each is met a few times. Only the cells that are not zero are
+    counted, one row per slot, value and label and task; the zeros of a slot are
+    what is missing of the label's rows. The result has one row per slot and is
+    brought to the driver for its p values.
     """
-    labels = label_values(df, label)
-    rows = df.select(F.col(label).alias("_label"), vector_to_array(features).alias("_values"))
-    rows = rows.filter(F.col("_label").isNotNull())
-    counters = [F.count_if(F.col("_label") == v).alias(f"o{i}") for i, v in enumerate(labels)]
-    whole = rows.agg(F.max(F.size("_values")).alias("width"), *counters).first()
-    if not whole["width"]:
+    bounds: dict[int, list[float]] = {}
+    if bins is not None:
+        slots_ = continuous_slots(df, features) if continuous is None else list(continuous)
+        bounds = slot_quantiles(df.filter(F.col(label).isNotNull()), slots_, bins, features) if slots_ else {}
+    rows = df.select(F.col(label).alias("_label"), F.col(features).alias("_vector")).filter(F.col("_label").isNotNull())
+    width = F.max(F.unwrap_udt("_vector")["size"])  # null in a dense vector
+    width = F.greatest(width, F.max(F.size(F.unwrap_udt("_vector")["values"]))).alias("width")
+    found = rows.groupBy("_label").agg(F.count("*").alias("n"), width).limit(MAX_LABELS + 1).collect()
+    if len(found) > MAX_LABELS:
+        raise ValueError(f"{label} has more than {MAX_LABELS} values: not a class label")
+    found.sort(key=lambda row: row["_label"])
+    labels, totals = [row["_label"] for row in found], [row["n"] for row in found]
+    n, size = float(sum(totals)), max((row["width"] or 0 for row in found), default=0)
+    if not size:
         return df.sparkSession.createDataFrame([], CHI_SQUARE)
-    totals = [whole[f"o{i}"] for i in range(len(labels))]
-    n = float(sum(totals))
+    counters = [F.count_if(F.col("_label") == v).alias(f"o{i}") for i, v in enumerate(labels)]
 
-    slots = F.transform("_values", lambda value, i: F.struct(i.alias("idx"), value.alias("value")))
-    cells = rows.select("_label", F.inline(F.filter(slots, lambda slot: slot["value"] != 0)))
+    cells = _slot_cells(F.col("_vector"))
+    if bounds:
+        values = vector_to_array("_vector")
+        ranged = []
+        for i, own in bounds.items():
+            # Ranges count from 1, so that none of them is taken for the zeros.
+            place = reduce(add, [(values[i] >= b).cast("int") for b in own], F.lit(1))
+            ranged.append(F.struct(F.lit(i).alias("idx"), place.cast("double").alias("value")))
+        cells = F.concat(F.filter(cells, lambda cell: ~cell["idx"].isin(*bounds)), F.array(*ranged))
+    cells = rows.select("_label", F.inline(cells))
     observed = cells.groupBy("idx", "value").agg(*counters)
     used = [(F.col(f"o{i}").cast("double"), total) for i, total in enumerate(totals) if total]
 
@@ -173,7 +216,7 @@ def chi_square(df: DataFrame, features: str = FEATURES, label: str = "label") ->
     )
     by_slot = {row["idx"]: (row["statistic"], row["categories"]) for row in table.collect()}
     out = []
-    for i in range(whole["width"]):
+    for i in range(size):
         statistic, categories = by_slot.get(i, (0.0, 1))
         dof = (categories - 1) * (len(used) - 1)
         out.append((i, statistic if dof else 0.0, chi_square_tail(statistic, dof), dof))
@@ -213,10 +256,10 @@ def chi_square_tail(statistic: float, dof: int) -> float:
     return scale * fraction
 
 
-def chi_square_named(df: DataFrame, features: str = FEATURES, label: str = "label") -> DataFrame:
+def chi_square_named(df: DataFrame, features: str = FEATURES, label: str = "label", bins: int | None = None) -> DataFrame:
     """``chi_square`` with slot names matched by index, largest statistic first."""
     # One row per vector slot on both sides.
-    named = chi_square(df, features, label).join(feature_names(df, features), "idx")
+    named = chi_square(df, features, label, bins).join(feature_names(df, features), "idx")
     return named.select("idx", F.col("name").alias("feature"), "statistic", "p_value", "dof").orderBy(
         F.desc("statistic"), "feature"
     )
