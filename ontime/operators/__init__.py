@@ -45,7 +45,6 @@ from ontime.operators.models import (
     default_grid,
     grid_estimator,
     grid_scores,
-    grid_search,
     model_params,
     named_coefficients,
     named_importances,
@@ -91,5 +90,6 @@ from ontime.operators.stats import (
     corr_matrix,
     corr_matrix_wide,
 )
+from ontime.operators.tuning import fold_areas, grid_search, write_folds
 
 __all__ = [name for name in dir() if not name.startswith("_")]

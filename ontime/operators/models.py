@@ -5,22 +5,20 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Model
 from pyspark.ml.classification import (
     LogisticRegression,
     LogisticRegressionModel,
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vector
 from pyspark.ml.param import Params
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 
 from ontime import config
-from ontime.functions import hash_bucket
 from ontime.operators.encode import FEATURES, feature_names
 from ontime.operators.ranking import arg_best
 
@@ -108,40 +106,6 @@ def grid_estimator() -> LogisticRegression:
     return LogisticRegression(featuresCol=FEATURES, labelCol="label", maxIter=config.GRID_MAX_ITER)
 
 
-def grid_search(
-    train: DataFrame,
-    estimator: Estimator | None = None,
-    grid: list[dict] | None = None,
-    folds: int = config.FOLDS,
-    fold_key: Sequence[str] | None = None,
-    seed: int = config.SEED,
-    parallelism: int = 4,
-) -> CrossValidatorModel:
-    """Cross-validated search for the parameters with the highest area under ROC.
-
-    With ``fold_key`` the folds come from a key hash, so a rerun on other
-    partitions compares the same folds. ``parallelism`` fits run at a time, all
-    on the same cached fold.
-    """
-    lr = estimator or grid_estimator()
-    maps = grid if grid is not None else default_grid(lr)
-    validator = CrossValidator(
-        estimator=Pipeline(stages=[lr]),
-        estimatorParamMaps=maps,
-        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
-        numFolds=folds,
-        seed=seed,
-        parallelism=parallelism,
-    )
-    columns = [FEATURES, "label"]
-    if fold_key is not None:
-        fold = hash_bucket(list(fold_key), f"fold {seed}", folds).cast("int")
-        train = train.withColumn("fold", fold)
-        columns.append("fold")
-        validator = validator.setFoldCol("fold")
-    return validator.fit(train.select(*columns))
-
-
 def grid_scores(search: CrossValidatorModel) -> DataFrame:
     """(position, params, metric): mean metric over the folds per grid point."""
     rows = [

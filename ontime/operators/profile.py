@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from ontime import config
 from ontime.functions import drop_nan, is_missing, unsigned_zero
 from ontime.operators.projection import numeric_columns, type_class
-from ontime.operators.running import exact_percentiles, percentile_name
+from ontime.operators.quantiles import LEAF, refine, sketch_grid
+from ontime.operators.running import percentile_name
+from ontime.session import cut_lineage
 
 QUARTILES = (0.25, 0.5, 0.75)
-ROW_HASH_SEEDS = (1, 2, 3)
+# Row hashes that may be broadcast: 8 bytes each.
+FEW = 1_000_000
 # Microseconds and offset: the default text of a timestamp in JSON has milliseconds only.
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"
 JSON_TIMES = {
@@ -64,32 +67,35 @@ def rows_with_nulls(df: DataFrame) -> DataFrame:
 
 
 def duplicate_count(
-    df: DataFrame, subset: Sequence[str] | None = None, hashed: bool = False
+    df: DataFrame, subset: Sequence[str] | None = None, hashed: bool = False, few: int = FEW
 ) -> DataFrame:
     """Rows beyond the first of each group of equal rows; nulls are equal.
 
     Equal rows collapse before the shuffle, but distinct rows travel whole.
-    ``hashed`` groups by a 192-bit row hash instead, 24 bytes per distinct row
-    whatever the width of the table. Columns that hold nested values are always
-    compared as they are.
+    ``hashed`` finds the row hashes that occur more than once first, 8 bytes per
+    distinct row whatever the width of the table, and compares only the rows behind
+    them by value. Should more than ``few`` hashes repeat, they are not broadcast and
+    all rows are compared as they are.
     """
     names = df.columns if subset is None else list(subset)
-    keys: list[str | Column] = list(names)
+    rows = df.select(*names)
     if hashed:
         kinds = dict(df.dtypes)
-        nested = [c for c in names if kinds[c].startswith(config.NESTED_TYPES)]
-        flat = [c for c in names if c not in nested]
-        keys = [*nested, *[_row_hash(flat, seed).alias(f"_h{seed}") for seed in ROW_HASH_SEEDS]]
-    rows = df.select(*keys)
-    groups = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+        flat = [c for c in names if not kinds[c].startswith(config.NESTED_TYPES)]
+        marked = rows.select("*", _row_hash(flat).alias("_hash"))
+        repeated = marked.groupBy("_hash").agg(F.count("*").alias("n")).filter("n > 1").select("_hash")
+        repeated = cut_lineage(repeated)
+        if repeated.count() <= few:
+            rows = marked.join(F.broadcast(repeated), "_hash", "left_semi").select(*names)
+    groups = rows.groupBy(*names).agg(F.count("*").alias("n"))
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_duplicates"))
 
 
-def _row_hash(names: Sequence[str], seed: int) -> Column:
+def _row_hash(names: Sequence[str]) -> Column:
     """64-bit hash of a row. A null leaves the hash as it is, so each null test
     goes in too: otherwise (null, 1) and (1, null) would look the same."""
     parts = [part for c in names for part in (F.col(c).isNull(), F.col(c))]
-    return F.xxhash64(F.lit(seed), *parts)
+    return F.xxhash64(F.lit(1), *parts)
 
 
 def cell_counts(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
@@ -153,30 +159,36 @@ def describe_numeric(
     percentiles: bool | Sequence[float] = True,
     approx: bool = False,
     accuracy: int = 10_000,
+    leaf: int = LEAF,
 ) -> DataFrame:
     """(column, n_values, mean, std, min, percentiles, max), nulls and NaN skipped.
 
-    Exact percentiles come from distributed running counts; ``approx`` takes
-    sketches in the same single pass as the other statistics instead.
+    Exact percentiles are narrowed down from sketches (see ``quantiles``) and run
+    right away: one scan for sketches and the other statistics, one that counts the
+    values near the wanted ranks. Brackets above ``leaf`` values take further scans.
+    ``approx`` takes the percentiles from sketches of the single pass instead.
     """
     names = numeric_columns(df) if cols is None else list(cols)
     probabilities = QUARTILES if percentiles is True else tuple(percentiles or ())
     marks = [percentile_name(p) for p in probabilities]
     # One null cell per column gives every column a line, even in an empty table.
     blank = df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(c) for c in names])
-    cells = _numeric_cells(df, names).unionByName(_numeric_cells(blank, names))
+    numbers = _numeric_cells(df, names)
+    cells = numbers.unionByName(_numeric_cells(blank, names))
     aggregates = [F.count("value").alias("n_values"), *_moments()]
-    if approx and probabilities:
+    order = ["column", "n_values", "mean", "std", "min", *marks, "max"]
+    if not probabilities:
+        return cells.groupBy("column").agg(*aggregates).select(*order)
+    if approx:
         aggregates.append(F.percentile_approx("value", list(probabilities), accuracy).alias("sketch"))
-    table = cells.groupBy("column").agg(*aggregates)
-    if approx and probabilities:
-        table = table.select("*", *[F.col("sketch")[i].alias(m) for i, m in enumerate(marks)])
-    elif probabilities:
-        # One row per profiled column on both sides.
-        table = table.join(
-            exact_percentiles(numeric_counts(df, names), probabilities), "column", "left"
-        )
-    return table.select("column", "n_values", "mean", "std", "min", *marks, "max")
+        table = cells.groupBy("column").agg(*aggregates)
+        return table.select("*", *[F.col("sketch")[i].alias(m) for i, m in enumerate(marks)]).select(*order)
+    # One row per profiled column.
+    rows = cells.groupBy("column").agg(*aggregates, sketch_grid("value").alias("grid")).collect()
+    found = refine(numbers, {r["column"]: (r["n_values"], r["grid"]) for r in rows}, probabilities, leaf)
+    table = [(r["column"], r["n_values"], r["mean"], r["std"], r["min"], *found[r["column"]], r["max"]) for r in rows]
+    doubles = ", ".join(f"`{name}` double" for name in order[2:])
+    return df.sparkSession.createDataFrame(table, f"column string, n_values bigint, {doubles}")
 
 
 def profile_numeric(df: DataFrame, source: str, cols: Sequence[str] | None = None) -> DataFrame:
