@@ -7,6 +7,7 @@ from ontime.operators.charts import (
     scatter_grid,
 )
 from ontime.operators.derive import add_label, add_season, add_time_of_day, add_times_of_day
+from ontime.operators.dictionary import category_dictionary, dictionary_sizes, index_by_dictionary
 from ontime.operators.encode import (
     EncodedSplit,
     feature_names,

@@ -106,7 +106,7 @@ def cell_counts(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = ()) ->
     that fills a third of a column is one row per task.
     """
     kinds = dict(df.dtypes)
-    cells = df.select(*ids, *[_as_text(F.col(c), kinds[c]).alias(c) for c in cols])
+    cells = df.select(*ids, *[as_text(F.col(c), kinds[c]).alias(c) for c in cols])
     return (
         cells.unpivot(list(ids), list(cols), "column", "value")
         .groupBy(*ids, "column", "value")
@@ -114,7 +114,7 @@ def cell_counts(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = ()) ->
     )
 
 
-def _as_text(column: Column, kind: str) -> Column:
+def as_text(column: Column, kind: str) -> Column:
     """A text that differs for different values of the column.
 
     Timestamps carry their offset, else an hour that the clock shows twice would
@@ -220,8 +220,8 @@ def profile_categorical(df: DataFrame, source: str, cols: Sequence[str]) -> Data
         else:
             value = value.try_cast(kind)
         value = F.when(F.col("column").isin(*members), value)
-        lows.append(_as_text(F.min(value), kind))
-        highs.append(_as_text(F.max(value), kind))
+        lows.append(as_text(F.min(value), kind))
+        highs.append(as_text(F.max(value), kind))
     return cells.groupBy(source, "column").agg(
         F.count("value").alias("n_distinct"),
         F.coalesce(*lows).alias("min"),

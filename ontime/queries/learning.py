@@ -16,6 +16,7 @@ from ontime.operators import (
     auc,
     auc_exact,
     best_params,
+    category_dictionary,
     chi_square,
     chi_square_named,
     coefficients,
@@ -23,6 +24,7 @@ from ontime.operators import (
     feature_names,
     feature_pipeline,
     grid_scores,
+    index_by_dictionary,
     min_max,
     model_params,
     named_coefficients,
@@ -40,7 +42,10 @@ from ontime.plans.flights import ROW_KEY
 from ontime.queries import stages
 from ontime.queries.tables import CATEGORIES, rounded
 from ontime.session import new_folder
-from ontime.sources import save_model
+from ontime.sources import read_zone, save_model, write_zone
+
+# The row key as a category: as many values as rows.
+KEY_TEXT = "KeyText"
 
 
 def fired_slot(values: Column) -> Column:
@@ -58,6 +63,20 @@ def string_index(spark: SparkSession, d: str) -> DataFrame:
     return indexed.select(ROW_KEY, *map(index_name, config.STRING_CATEGORIES))
 
 
+def keyed_categories(spark: SparkSession, d: str) -> DataFrame:
+    table = stages.feature_table(spark, d)
+    return table.select(ROW_KEY, *config.STRING_CATEGORIES, F.col(ROW_KEY).cast("string").alias(KEY_TEXT))
+
+
+def dictionary_index(spark: SparkSession, d: str) -> DataFrame:
+    """Indexes from a written dictionary, of few categories and of one per row."""
+    table, cols = keyed_categories(spark, d), [*config.STRING_CATEGORIES, KEY_TEXT]
+    root = new_folder(spark, "dictionary")
+    write_zone(category_dictionary(table, cols), root, "values")
+    indexed = index_by_dictionary(table, read_zone(spark, root, "values"), cols)
+    return indexed.select(ROW_KEY, *map(index_name, cols))
+
+
 def encode_onehot(spark: SparkSession, d: str) -> DataFrame:
     """The slot that fires per category column; -1 if none does."""
     table = stages.feature_table(spark, d).select(ROW_KEY, *CATEGORIES)
@@ -327,6 +346,10 @@ QUERIES = {
     "save_model": model_round_trip,
     # Encoding and scaling
     "string_index": string_index,
+    "category_dictionary": lambda s, d: category_dictionary(
+        keyed_categories(s, d), [*config.STRING_CATEGORIES, KEY_TEXT]
+    ),
+    "dictionary_index": dictionary_index,
     "encode_onehot": encode_onehot,
     "vectorize_continuous": vectorize_continuous,
     "minmax_scale": minmax_scale,

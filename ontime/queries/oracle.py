@@ -557,6 +557,25 @@ ORACLE = {
         + f" FROM featured f {_rank_joins()}",
         _ranks(),
     ),
+    "category_dictionary": query(
+        "featured",
+        " UNION ALL ".join(
+            f"""SELECT '{name}' AS "column", CAST({c} AS VARCHAR) AS value, count(*) AS n,
+            row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) - 1 AS idx FROM featured GROUP BY {c}"""
+            for c, name in [*[(c, c) for c in config.STRING_CATEGORIES], (KEY, "KeyText")]
+        ),
+    ),
+    "dictionary_index": query(
+        "featured",
+        f"SELECT f.{KEY}, "
+        + ", ".join(f"CAST(rank_{c}.idx AS DOUBLE) AS {index_name(c)}" for c in config.STRING_CATEGORIES)
+        + f""", CAST(rank_key.idx AS DOUBLE) AS {index_name("KeyText")}
+        FROM featured f {_rank_joins()} JOIN rank_key ON rank_key.v = f.{KEY}""",
+        _ranks() | {
+            "rank_key": f"""SELECT {KEY} AS v, row_number() OVER (ORDER BY count(*) DESC, {KEY}) - 1 AS idx
+            FROM featured GROUP BY {KEY}"""
+        },
+    ),
     "encode_onehot": query(
         "featured",
         f"SELECT f.{KEY}, "
