@@ -82,6 +82,7 @@ from ontime.operators.projection import (
 )
 from ontime.operators.ranking import arg_best, bottom_k, preview, top_bottom, top_k
 from ontime.operators.running import exact_percentiles, running_totals
+from ontime.operators.sketches import column_sketches, merge_sketches, sketched_profile
 from ontime.operators.split import assign_parts, hash_split, random_split, score_linear
 from ontime.operators.stats import (
     chi_square,

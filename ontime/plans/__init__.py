@@ -10,6 +10,7 @@ from ontime.plans.preparation import (
     read_trusted,
     write_features,
 )
+from ontime.plans.sketching import due_sketches, read_sketches, sketch_cleaned
 
 __all__ = [
     "add_features",
@@ -17,10 +18,13 @@ __all__ = [
     "clean_for_model",
     "clean_for_model_audit",
     "cleaning_job",
+    "due_sketches",
     "feature_job",
     "flights",
     "model_job",
     "read_parts",
+    "read_sketches",
     "read_trusted",
+    "sketch_cleaned",
     "write_features",
 ]

@@ -688,4 +688,13 @@ ORACLE = {
         count(DISTINCT {KEY}) AS n_keys, 0::BIGINT AS n_rewritten FROM cleaned GROUP BY 1""",
     ),
     "scan_landing_folder": query("flights", _no_dates("flights")),
+    "sketch_accuracy": query(
+        "cleaned",
+        f"""SELECT "column", 'number' AS kind, (SELECT count(*) FROM cleaned) AS n_rows, count(*) AS n_values,
+        min(value) AS min, max(value) AS max, NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text, round(avg(value), 6) AS mean,
+        true AS p25, true AS p50, true AS p75, true AS distinct_near FROM longs GROUP BY "column"
+        UNION ALL SELECT "column", 'text', (SELECT count(*) FROM cleaned), count(*), NULL, NULL, min(value), max(value), NULL,
+        NULL, NULL, NULL, true FROM cells GROUP BY "column\"""",
+        {**_numbers(config.NUMERICAL_COLUMNS, "cleaned"), **_texts(config.CATEGORICAL_COLUMNS, "cleaned")},
+    ),
 }

@@ -19,6 +19,7 @@ from ontime.operators import (
     bar_counts_many,
     bottom_k,
     cast_columns,
+    cell_counts,
     cast_where,
     chi_square_onehot,
     chi_square_table,
@@ -54,14 +55,15 @@ from ontime.operators import (
     scatter_grid,
     select_columns,
     shape_profile,
+    sketched_profile,
     top_k,
     value_counts,
 )
 from ontime.operators.filters import at_least, has_values
 from ontime.operators.profile import numeric_counts
 from ontime.operators.projection import numeric_columns
-from ontime.plans import cleaning_job
-from ontime.plans.cleaning import CLEANED, LANDING
+from ontime.plans import cleaning_job, read_sketches, sketch_cleaned
+from ontime.plans.cleaning import CLEANED, LANDING, clean_due_files
 from ontime.plans.flights import ROW_KEY
 from ontime.queries import stages
 from ontime.session import new_folder
@@ -205,6 +207,48 @@ def incremental_cleaning(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def sketched_columns(spark: SparkSession, d: str) -> DataFrame:
+    """The profile of the cleaned zone from stored sketches, made in two steps as the
+    landing folder grew: the second one read the files of the second run only."""
+    return rounded(sketched_profile(read_sketches(spark, sketched_root(spark, d))))
+
+
+def sketched_root(spark: SparkSession, d: str) -> str:
+    def build() -> str:
+        root, rows = new_folder(spark, "sketched"), stages.by_year(stages.raw(spark, d))
+        early = F.coalesce(F.col("Year") < EARLY_YEARS, F.lit(False))
+        for arrived, mode in ((rows.filter(early), "overwrite"), (rows.filter(~early), "append")):
+            write_zone(arrived.drop("source_file"), root, LANDING, mode=mode)
+            clean_due_files(spark, root, schema=rows.drop("source_file").schema, carry=[ROW_KEY])
+            sketch_cleaned(spark, root)
+        return root
+
+    return stages._once(spark, d, "sketched", build)
+
+
+def sketch_accuracy(spark: SparkSession, d: str) -> DataFrame:
+    """What stored sketches hold exactly, and whether their estimates are near: ranks
+    within one percent of the rows, distinct counts within ten percent."""
+    zone = read_cleaned(spark, f"{sketched_root(spark, d)}/{CLEANED}")
+    made = sketched_columns(spark, d)
+    marks = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    # One row per profiled column joins the value counts.
+    counts = numeric_counts(zone, config.NUMERICAL_COLUMNS).join(F.broadcast(made.select("column", *marks)), "column")
+    n, value = F.sum("n"), F.round("value", 6)
+    below = {m: F.sum(F.when(value < F.col(m), F.col("n")).otherwise(0)) for m in marks}
+    upto = {m: F.sum(F.when(value <= F.col(m), F.col("n")).otherwise(0)) for m in marks}
+    ranks = counts.groupBy("column").agg(
+        *[((below[m] <= (p + 0.01) * n + 1) & (upto[m] >= (p - 0.01) * n - 1)).alias(m) for m, p in marks.items()]
+    )
+    cells = cell_counts(zone, config.FLIGHT_COLUMNS).filter(F.col("value").isNotNull())
+    distinct = cells.groupBy("column").agg(F.count("*").alias("n_exact"))
+    near = F.abs(F.col("n_distinct") - F.col("n_exact")) <= 0.1 * F.col("n_exact") + 1
+    return (
+        made.drop(*marks).join(ranks, "column", "left").join(distinct, "column")
+        .withColumn("distinct_near", near).drop("n_exact", "n_distinct")
+    )
+
+
 def chart_sink(spark: SparkSession, d: str) -> DataFrame:
     root = new_folder(spark, "charts")
     chart = bar_counts(stages.featured(spark, d), "ScheduledDepTimeOfDay")
@@ -263,6 +307,8 @@ QUERIES = {
     "write_cleaned": write_cleaned,
     "scan_landing_folder": scan_landing_folder,
     "incremental_cleaning": incremental_cleaning,
+    "sketched_columns": sketched_columns,
+    "sketch_accuracy": sketch_accuracy,
     "chart_sink": chart_sink,
     "shape_profile": lambda s, d: shape_profile(stages.raw(s, d)),
     # Projections
