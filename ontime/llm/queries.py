@@ -19,11 +19,13 @@ from ontime.llm.periodic import find_runs
 from ontime.llm.quality import THRESHOLD, score_quality
 from ontime.llm.simhash import simhash_components
 from ontime.llm.suffix_dedup import drop_repeats
-from ontime.llm.url_filter import host_of, judge_urls
+from ontime.llm.url_filter import host_of, judge_urls, path_of
 from ontime.llm.vptree import nearest
 
-# Fixed value: the sites whose URLs make the list of the URL filter.
+# Fixed value: sites all of whose URLs are on the list of the URL filter.
 SPAM_SITE = r"(^|\.)(spam-farm|cheap-pills)\."
+# The document a page shows, by the paths of the pages: /language/doc_id.
+PAGE_DOCUMENT = r"^/[^/]*/([0-9]+)"
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -32,11 +34,18 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def listed_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """The list: the URLs of sites that are known for spam, and those under which a
+    document labelled toxic was met, whatever the site."""
+    spam = pages.filter(host_of(F.col("url")).rlike(SPAM_SITE)).select("url")
+    shown = pages.select("url", F.regexp_extract(path_of(F.col("url")), PAGE_DOCUMENT, 1).try_cast("bigint").alias("doc_id"))
+    toxic = labels.filter("toxic = 1").select("doc_id")
+    return spam.unionByName(shown.join(toxic, "doc_id", "left_semi").select("url"))
+
+
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list: all URLs of the sites that are known for spam."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.filter(host_of(F.col("url")).rlike(SPAM_SITE))
-    return judge_urls(pages, listed).drop("url")
+    return judge_urls(pages, listed_urls(pages, read_table(spark, sf_dir, "labels"))).drop("url")
 
 
 def language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +201,9 @@ q AS (
 c AS (
  SELECT page_id, host, path, regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '')
   || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END AS canonical FROM q),
-l AS (SELECT DISTINCT canonical FROM c WHERE regexp_matches(host, '(^|\.)(spam-farm|cheap-pills)\.') AND canonical <> ''),
+l AS (
+ SELECT DISTINCT canonical FROM c WHERE canonical <> '' AND (regexp_matches(host, '(^|\.)(spam-farm|cheap-pills)\.')
+  OR TRY_CAST(regexp_extract(path, '^/[^/]*/([0-9]+)', 1) AS BIGINT) IN (SELECT doc_id FROM labels WHERE toxic = 1))),
 r AS (
  SELECT c.*, l.canonical IS NOT NULL AS listed,
   CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'

@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 
 from ontime.llm.common import free_name, materialise
 
-# Fixed size of the filter: 2^17 blocks of 8 words of 32 bits, 4 MB of bits. Its
-# row count is bounded by this, however long the list; a longer list passes more
-# false hits to the exact join.
-BLOCKS = 1 << 17
+# The filter has a block of 8 words of 32 bits for every KEYS listed URLs (16 bits a
+# URL, a false hit in some hundreds), a power of two. It is broadcast, hence the upper
+# bound: 2^19 rows, some 100 MB. A list above 8 million URLs passes more false hits to
+# the exact join.
+KEYS = 16
+LEAST_BLOCKS = 1 << 10
+MOST_BLOCKS = 1 << 19
 WORDS = 8
 
 # Rules as (host, path, verdict).
@@ -74,7 +77,13 @@ def block(key: Column, blocks: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit("block")), F.lit(blocks))
 
 
-def bloom_filter(listed: DataFrame, key: str, blocks: int = BLOCKS) -> DataFrame:
+def blocks_for(n_listed: int) -> int:
+    """Blocks of the filter for a list of that many URLs."""
+    wanted = 1 << max(0, -(-n_listed // KEYS) - 1).bit_length()
+    return min(max(wanted, LEAST_BLOCKS), MOST_BLOCKS)
+
+
+def bloom_filter(listed: DataFrame, key: str, blocks: int) -> DataFrame:
     """(block, w0..w7), one row per block in use. Partial blocks are combined
     before the shuffle, so a task sends as many rows as there are blocks at most."""
     bits = listed.select(block(F.col(key), blocks).alias("block"), *[m.alias(f"w{i}") for i, m in enumerate(masks(F.col(key)))])
@@ -82,7 +91,7 @@ def bloom_filter(listed: DataFrame, key: str, blocks: int = BLOCKS) -> DataFrame
 
 
 def judge_urls(
-    pages: DataFrame, listed: DataFrame, url: str = "url", listed_url: str = "url", rules=RULES, blocks: int = BLOCKS
+    pages: DataFrame, listed: DataFrame, url: str = "url", listed_url: str = "url", rules=RULES, blocks: int | None = None
 ) -> DataFrame:
     """The rows of ``pages`` with host, path, rule, verdict and listed.
 
@@ -90,7 +99,8 @@ def judge_urls(
     form is that of a listed one is blocked and any other allowed. A null URL or
     one without ``://`` has an empty host and path, fits no rule and is never
     listed. Repeated rows stay repeated; an empty list blocks nothing. Columns of
-    ``pages`` called like a new one make an error.
+    ``pages`` called like a new one make an error. The filter is sized by the length
+    of the list unless ``blocks`` are given; the result is the same with any size.
     """
     clash = {"host", "path", "rule", "verdict", "listed"} & {c.lower() for c in pages.columns}
     if clash:
@@ -98,6 +108,7 @@ def judge_urls(
     key, mark, found = (free_name(pages, n) for n in ("canonical", "possible", "fits"))
     keys = listed.select(canonical(F.col(listed_url)).alias(key)).filter(F.col(key) != "").distinct()
     keys = materialise(keys, "listed")
+    blocks = blocks or blocks_for(keys.count())
     filters = materialise(bloom_filter(keys, key, blocks), "bloom")
 
     judged = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url)), key: canonical(F.col(url))})

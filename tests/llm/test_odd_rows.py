@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing names."""
 
 import random
+from functools import reduce
 
 import numpy as np
 import pytest
@@ -14,8 +15,9 @@ from ontime.llm.interpolation import score_texts
 from ontime.llm.language import identify_language
 from ontime.llm.line_dedup import drop_boilerplate
 from ontime.llm.quality import score_quality
+from ontime.llm.queries import listed_urls
 from ontime.llm.simhash import components, drop_near_copies, near_links, simhash_components, spanning_links
-from ontime.llm.url_filter import judge_urls
+from ontime.llm.url_filter import bloom_filter, blocks_for, canonical, judge_urls, masks
 from ontime.llm.vptree import nearest
 
 
@@ -169,6 +171,28 @@ def test_urls(spark):
         judge_urls(pages.withColumn("Host", F.lit(1)), listed)
 
 
+def test_false_hits_of_the_url_filter_go_in_the_join(spark):
+    """One block of 256 bits for a thousand URLs: every URL is a possible hit."""
+    listed = spark.range(1000).select(F.concat(F.lit("http://a.com/"), "id").alias("url"))
+    pages = spark.range(500, 3000).select(F.col("id").alias("page_id"), F.concat(F.lit("https://www.a.com/"), "id", F.lit("/?utm_source=x")).alias("url"))
+    hits = pages.crossJoin(bloom_filter(listed.select(canonical(F.col("url")).alias("key")), "key", 1))
+    bits = [F.col(f"w{i}").bitwiseAND(m) == m for i, m in enumerate(masks(canonical(F.col("url"))))]
+    assert hits.filter(reduce(lambda a, b: a & b, bits)).count() == 2500
+    for blocks in (1, None):
+        got = judge_urls(pages, listed, blocks=blocks).groupBy("verdict").agg(F.count("*"), F.min("page_id"), F.max("page_id"))
+        assert {tuple(r) for r in got.collect()} == {("block", 500, 500, 999), ("allow", 2000, 1000, 2999)}
+    assert [blocks_for(n) for n in (0, 16 << 10, (16 << 10) + 1, 1 << 40)] == [1 << 10, 1 << 10, 1 << 11, 1 << 19]
+
+
+def test_listed_urls(spark):
+    """Spam sites by host, toxic documents by the number in the path; odd labels and paths list nothing."""
+    urls = ["http://a.com/en/5", "http://b.org/fr/5.html?x=1", "http://a.com/en/6", "http://www.spam-farm.x.com/en/6", "http://a.com/5", None, "", "http://a.com/en/99999999999999999999"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    labels = spark.createDataFrame([(5, 1), (5, 1), (6, 0), (6, None), (None, 1)], "doc_id long, toxic int")
+    assert sorted(r.url for r in listed_urls(pages, labels).collect()) == sorted([urls[0], urls[1], urls[3]])
+    assert listed_urls(pages, labels.limit(0)).count() == 1 and listed_urls(pages.limit(0), labels).count() == 0
+
+
 def test_lines(spark):
     html = ["<nav>menu</nav><p>one</p>", "<nav>menu</nav><p>two\ntwo</p>", "<p>menu</p><script>menu()</script>", "menu<!-- menu -->", None, ""]
     pages = spark.createDataFrame([(i, "http://h.com/x", h, 0) for i, h in enumerate(html)] + [(9, None, "menu", 0)], "page_id long, url string, html string, lines int")
