@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -32,10 +33,6 @@ CHUNK_BYTES = 6_000_000
 # Hashes that a shard receives, about.
 SHARD_HASHES = 2_000_000
 SMOOTHING = 0.1
-# Context buckets: unseen, then one per power of two of the count.
-BUCKETS = 26
-# Cells per side of the grid of (unigram, bigram) estimates that EM runs on.
-GRID = 48
 ROUNDS = 100
 END = np.uint64(0xD6E8FEB86659FD93)
 START = np.uint64(0xA0761D6478BD642F)
@@ -98,18 +95,15 @@ class Chunk:
         return n[place]
 
 
-def by_chunk(df: DataFrame) -> str:
+def by_chunk(df: DataFrame, database: str) -> str:
     """Write a table in buckets by chunk and return its name."""
-    spark = df.sparkSession
-    # A database in the shared folder, so that dropping the table removes its files.
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS llm_scratch LOCATION '{new_folder(spark, 'llm_scratch')}'")
-    name = f"llm_scratch.chunks_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{database}.chunks_{uuid.uuid4().hex}"
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     df.write.bucketBy(buckets, "chunk").option("compression", "zstd").saveAsTable(name)
     return name
 
 
-def chunks(df: DataFrame, doc_id: str, text: str, learn: Column) -> str:
+def chunks(df: DataFrame, doc_id: str, text: str, learn: Column, database: str) -> str:
     """One row per chunk: its documents and tokens. Written in buckets by chunk,
     so that answers find their chunk without moving it; returns the table's name."""
 
@@ -141,7 +135,7 @@ def chunks(df: DataFrame, doc_id: str, text: str, learn: Column) -> str:
         run, f"chunk long, doc_ids array<{kind}>, learned binary, counts binary, names binary, codes binary, "
         "tokens long, learned_tokens long"
     )
-    return by_chunk(table)
+    return by_chunk(table, database)
 
 
 def chunk_of(row: dict) -> Chunk:
@@ -235,19 +229,33 @@ def totals_of(parts: list[dict]) -> np.ndarray:
 
 def bucket(context_counts: np.ndarray) -> np.ndarray:
     """0 for an unseen context, else one more than the power of two below its count."""
-    return np.where(context_counts > 0, np.minimum(np.log2(np.maximum(context_counts, 1)).astype(np.int64) + 1, BUCKETS - 1), 0)
+    return np.where(context_counts > 0, np.log2(np.maximum(context_counts, 1)).astype(np.int64) + 1, 0)
+
+
+class Grid(NamedTuple):
+    """The cells that EM runs on: context buckets, and cells per side of the grid of
+    (unigram, bigram) estimates."""
+
+    buckets: int
+    side: int
+
+    def cell(self, p: np.ndarray) -> np.ndarray:
+        """0 for zero, else a cell per half power of two from one down."""
+        return np.where(p > 0, self.side - 1 - (-2 * np.log2(np.maximum(p, 1e-300))).astype(np.int64), 0)
 
 
-def grid_cell(p: np.ndarray) -> np.ndarray:
-    """0 for zero, else a cell per quarter power of two from one down."""
-    return np.where(p > 0, np.clip(GRID - 1 - (-2 * np.log2(np.maximum(p, 1e-300))).astype(np.int64), 1, GRID - 1), 0)
+def grid_for(total: int) -> Grid:
+    """Room for contexts of any count, and for estimates down to one in ``total``: the
+    cells are as wide at every size, their number grows as the cube of its logarithm."""
+    octaves = max(total, 1).bit_length()
+    return Grid(octaves + 1, 2 * octaves + 2)
 
 
 def deleted_counts(table: DataFrame, total: int) -> pd.DataFrame:
     """(cell, n, unigram, bigram) over all learned tokens, each predicted by the
-    counts without its own document: sums per cell of (bucket, grid, grid), whose
-    number is fixed."""
-    size = BUCKETS * GRID * GRID
+    counts without its own document: sums per cell of (bucket, grid, grid)."""
+    grid = grid_for(total)
+    size = grid.buckets * grid.side * grid.side
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((3, size))
@@ -263,7 +271,7 @@ def deleted_counts(table: DataFrame, total: int) -> pd.DataFrame:
             rest = np.maximum(total - np.repeat(chunk.counts, chunk.counts), 1)
             unigram = c2 / rest
             bigram = np.where(c1 > 0, c12 / np.maximum(c1, 1), 0)
-            cell = ((bucket(c1) * GRID + grid_cell(unigram)) * GRID + grid_cell(bigram))[tokens]
+            cell = ((bucket(c1) * grid.side + grid.cell(unigram)) * grid.side + grid.cell(bigram))[tokens]
             for i, weight in enumerate((np.ones(len(tokens)), unigram[tokens], bigram[tokens])):
                 sums[i] += np.bincount(cell, weights=weight, minlength=size)
         met = np.flatnonzero(sums[0])
@@ -275,14 +283,14 @@ def deleted_counts(table: DataFrame, total: int) -> pd.DataFrame:
     return cells.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("n", "unigram", "bigram")]).toPandas()
 
 
-def learn_weights(cells: pd.DataFrame, uniform: float, rounds: int = ROUNDS) -> np.ndarray:
-    """(BUCKETS, 3): weights of uniform, unigram and bigram by EM; a bucket without
+def learn_weights(cells: pd.DataFrame, uniform: float, grid: Grid, rounds: int = ROUNDS) -> np.ndarray:
+    """(buckets, 3): weights of uniform, unigram and bigram by EM; a bucket without
     held-out tokens takes those of the bucket below. Unseen contexts have no bigram."""
-    weights = np.zeros((BUCKETS, 3))
-    which = cells["cell"].to_numpy() // (GRID * GRID)
+    weights = np.zeros((grid.buckets, 3))
+    which = cells["cell"].to_numpy() // (grid.side * grid.side)
     n = cells["n"].to_numpy()
     parts = np.stack([np.full(len(n), uniform), cells["unigram"] / n, cells["bigram"] / n], axis=1) if len(n) else np.zeros((0, 3))
-    for b in range(BUCKETS):
+    for b in range(grid.buckets):
         mask = np.array([1.0, 1.0, float(b > 0)])
         if not (which == b).any():
             weights[b] = weights[b - 1] if b > 1 else mask / mask.sum()
@@ -305,21 +313,36 @@ def score_texts(df: DataFrame, learn: Column, doc_id: str = "doc_id", text: str
     token is the end. base_score is the smoothed unigram's log10 probability,
     score that of the mixture, both of the whole text. Null and repeated ids and
     repeated rows are rows like any others; with nothing to learn from every
-    token is unknown. An empty table gives no rows.
+    token is unknown. An empty table gives no rows. Other columns are not looked at,
+    whatever their names. A long text is a chunk of its own, some 40 bytes of memory
+    a byte.
+
+    Two bucketed tables are made in a database of the call's own, in the shared
+    folder; it is dropped at the end, also after an error.
     """
     spark = df.sparkSession
-    name = chunks(df, doc_id, text, learn)
+    database = f"llm_scratch_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{new_folder(spark, 'llm_scratch')}'")
+    try:
+        return _score(df, learn, doc_id, text, database)
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def _score(df: DataFrame, learn: Column, doc_id: str, text: str, database: str) -> DataFrame:
+    spark = df.sparkSession
+    name = chunks(df, doc_id, text, learn, database)
     table = spark.table(name)
     size = table.agg(F.count("*"), F.sum("tokens"), F.sum("learned_tokens")).first()
     shards = max(1, -(-int(size[1] or 0) // SHARD_HASHES))
-    answers = by_chunk(per_chunk(answer(ask(table, shards))))
+    answers = by_chunk(per_chunk(answer(ask(table, shards))), database)
     vocabulary = int(spark.table(answers).agg(F.sum("types")).first()[0] or 0)
 
     total = int(size[2] or 0)
     # Both tables lie in the same buckets: neither is shuffled.
     full = table.join(spark.table(answers).drop("types").hint("shuffle_hash"), "chunk")
     uniform = 1 / (vocabulary + 1)
-    weights = learn_weights(deleted_counts(full, total), uniform)
+    weights = learn_weights(deleted_counts(full, total), uniform, grid_for(total))
     shared = spark.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,8 +370,5 @@ def score_texts(df: DataFrame, learn: Column, doc_id: str = "doc_id", text: str
 
     id_type = df.schema[doc_id].dataType
     schema = f"doc_id {id_type.simpleString()}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    scores = materialise(full.drop("tokens", "learned_tokens").mapInArrow(run, schema), "scores")
-    for done in (name, answers):
-        spark.sql(f"DROP TABLE {done}")
-    return scores
+    return materialise(full.drop("tokens", "learned_tokens").mapInArrow(run, schema), "scores")
 
