@@ -250,6 +250,23 @@ def importances(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def prediction_values(spark: SparkSession, d: str) -> DataFrame:
+    """Score and prediction of the baseline and the forest per test row, in one scan."""
+    test = stages.trusted(spark, d)[1].select(ROW_KEY, "label", FEATURES)
+    out = test
+    for name, model in (("logistic", stages.logistic(spark, d)), ("forest", stages.forest(spark, d))):
+        scored = with_score(predict(model, out), f"{name}_score")
+        out = scored.withColumnRenamed("prediction", f"{name}_prediction").drop("rawPrediction", "probability")
+    return out.drop(FEATURES)
+
+
+def coefficient_values(spark: SparkSession, d: str) -> DataFrame:
+    """(idx, name, coefficient) of the baseline, the intercept at -1 without a name."""
+    model = stages.logistic(spark, d)
+    names = feature_names(stages.trusted(spark, d)[0]).select("idx", "name")
+    return coefficients(model).join(names, "idx", "left").select("idx", "name", "coefficient")
+
+
 def grid_points(spark: SparkSession, d: str) -> DataFrame:
     scores = grid_scores(stages.search(spark, d))
     return scores.select(
@@ -370,6 +387,11 @@ QUERIES = {
     "forest_importances": importances,
     "grid_search": grid_points,
     "best_params": best_point,
+    # The values behind the checked properties
+    "coefficient_values": coefficient_values,
+    "importance_values": lambda s, d: named_importances(stages.forest(s, d), stages.trusted(s, d)[0]),
+    "prediction_values": prediction_values,
+    "grid_values": lambda s, d: grid_scores(stages.search(s, d)),
     # Evaluation
     "auc_model": auc_model,
     "model_comparison": model_comparison,

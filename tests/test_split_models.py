@@ -1,5 +1,8 @@
 """Splits, folds, training and saving."""
 
+import math
+import random
+
 import pytest
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.linalg import Vectors
@@ -17,11 +20,13 @@ from ontime.operators import (
     grid_search,
     hash_split,
     model_params,
+    named_importances,
     param_grid,
     param_table,
     predict,
     random_split,
     score_linear,
+    train_forest,
     train_logistic,
 )
 from ontime.queries import stages
@@ -73,6 +78,23 @@ def test_training_recovers_a_planted_signal(spark, planted):
     assert values[0] == pytest.approx(3.0, abs=0.3) and abs(values[1]) < 0.2 and abs(values[-1]) < 0.2
 
 
+def test_forest_recovers_a_planted_signal(spark):
+    """Two of four features decide together, neither of them alone: no line separates the labels."""
+    rng = random.Random(5)
+    points = [[rng.uniform(-1, 1) for _ in range(4)] for _ in range(3000)]
+    rows = [(i, Vectors.dense(p), float((p[1] > 0.1) != (p[3] > -0.2))) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, ["id", "features", "label"]).repartition(4)
+    attrs = {"ml_attr": {"attrs": {"numeric": [{"idx": i, "name": f"x{i}"} for i in range(4)]}, "num_attrs": 4}}
+    df = df.withColumn("features", F.col("features").alias("features", metadata=attrs))
+    train, test = df.filter("id % 3 > 0"), df.filter("id % 3 = 0")
+    forest = train_forest(train, num_trees=30, maxDepth=8)
+    right = predict(forest, test).agg(F.avg((F.col("prediction") == F.col("label")).cast("int"))).first()[0]
+    line = predict(train_logistic(train), test).agg(F.avg((F.col("prediction") == F.col("label")).cast("int"))).first()[0]
+    assert right > 0.93 and line < right - 0.2
+    weight = {r.name: r.importance for r in named_importances(forest, df).collect()}
+    assert min(weight["x1"], weight["x3"]) > 3 * max(weight["x0"], weight["x2"])
+
+
 def test_saved_model_predicts_the_same(spark, planted, tmp_path):
     model = train_logistic(planted, maxIter=5)
     loaded = LogisticRegressionModel.load(save_model(model, str(tmp_path / "model")))
@@ -110,6 +132,26 @@ def test_keyed_folds_survive_repartitioning(spark, planted):
     assert first == pytest.approx(again, abs=1e-9)
 
 
+def test_value_queries_agree_with_the_models(spark, sf_dir):
+    """Probabilities from the returned coefficients, importances from the trees, scores from the folds."""
+    from ontime.queries import QUERIES
+
+    weights = {r.idx: r.coefficient for r in QUERIES["coefficient_values"](spark, sf_dir).collect()}
+    test = {r.RowKey: r.features for r in stages.trusted(spark, sf_dir)[1].select("RowKey", "features").collect()}
+    rows = QUERIES["prediction_values"](spark, sf_dir).collect()
+    assert len(rows) == stages.trusted(spark, sf_dir)[1].count()
+    assert all(r.logistic_prediction == (r.logistic_score > 0.5) and r.forest_prediction == (r.forest_score > 0.5) for r in rows)
+    for r in rows[:200]:
+        vector = test[r.RowKey]
+        margin = weights[-1] + sum(weights[int(i)] * v for i, v in zip(vector.indices, vector.values, strict=True))
+        assert r.logistic_score == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-6)
+    trees = stages.forest(spark, sf_dir).trees
+    shares = {r.idx: r.importance for r in QUERIES["importance_values"](spark, sf_dir).collect()}
+    sums = sum(t.featureImportances.toArray() for t in trees)
+    assert sum(shares.values()) == pytest.approx(1)
+    assert all(shares[i] == pytest.approx(v / sums.sum(), abs=1e-4) for i, v in enumerate(sums))
+
+
 def test_test_rows_are_encoded_by_the_training_fit(spark, sf_dir):
     train, test = stages.trusted(spark, sf_dir)
     assert feature_names(train).collect() == feature_names(test).collect()
