@@ -91,6 +91,7 @@ from ontime.operators.stats import (
     chi_square_table,
     corr_matrix,
     corr_matrix_wide,
+    slot_cells,
 )
 from ontime.operators.tuning import fold_areas, grid_search, write_folds
 

@@ -131,7 +131,7 @@ def chi_square_onehot(
     return counts.select(feature.alias("feature"), reduce(add, cells).alias("statistic"), dof.cast("int").alias("dof"))
 
 
-def _slot_cells(vector: Column) -> Column:
+def slot_cells(vector: Column) -> Column:
     """(idx, value) of the cells of a vector that are not zero. A sparse vector says
     where they are; its zeros are never made."""
     plain = F.unwrap_udt(vector)
@@ -184,7 +184,7 @@ def chi_square(
         return df.sparkSession.createDataFrame([], CHI_SQUARE)
     counters = [F.count_if(F.col("_label") == v).alias(f"o{i}") for i, v in enumerate(labels)]
 
-    cells = _slot_cells(F.col("_vector"))
+    cells = slot_cells(F.col("_vector"))
     if bounds:
         values = vector_to_array("_vector")
         ranged = []
