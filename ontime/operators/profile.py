@@ -19,6 +19,8 @@ from ontime.session import cut_lineage
 QUARTILES = (0.25, 0.5, 0.75)
 # Row hashes that may be broadcast: 8 bytes each.
 FEW = 1_000_000
+# Columns from which on a row is wide: eight times the width of its hash.
+WIDE = 8
 # Microseconds and offset: the default text of a timestamp in JSON has milliseconds only.
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"
 JSON_TIMES = {
@@ -71,15 +73,16 @@ def duplicate_count(
 ) -> DataFrame:
     """Rows beyond the first of each group of equal rows; nulls are equal.
 
-    Equal rows collapse before the shuffle, but distinct rows travel whole.
-    ``hashed`` finds the row hashes that occur more than once first, 8 bytes per
-    distinct row whatever the width of the table, and compares only the rows behind
-    them by value. Should more than ``few`` hashes repeat, they are not broadcast and
-    all rows are compared as they are.
+    Rows count as equal by value only. Equal rows collapse before the shuffle, but
+    distinct rows travel whole; so of rows of ``WIDE`` columns or more, or of any with
+    ``hashed``, the row hashes that occur more than once are found first, 8 bytes per
+    distinct row whatever the width of the table. Equal rows have equal hashes, so a
+    row whose hash is its own has no equal, and only the others are compared. Should
+    more than ``few`` hashes repeat, they are not broadcast and all rows are compared.
     """
     names = df.columns if subset is None else list(subset)
     rows = df.select(*names)
-    if hashed:
+    if hashed or len(names) >= WIDE:
         kinds = dict(df.dtypes)
         flat = [c for c in names if not kinds[c].startswith(config.NESTED_TYPES)]
         marked = rows.select("*", _row_hash(flat).alias("_hash"))
