@@ -79,6 +79,23 @@ def test_empty_table(spark, table):
     assert sketched_profile(column_sketches(table.limit(0), "file", ["x"], ["t"])).count() == 0
 
 
+def test_rows_are_aggregated_as_rows(table):
+    """One group per file: no cell becomes a row before the aggregate, which would sort
+    its input beyond 128 groups in a task."""
+    names = [f"t{i}" for i in range(70)]
+    wide = table.select("file", "x", *[F.col("t").alias(n) for n in names])
+    made = column_sketches(wide, "file", ["x"], names)
+    plan = made._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    kinds = [line.strip(" +-:").split(" ")[0] for line in plan]
+    assert kinds.index("Generate") < kinds.index("Aggregate") and "Generate" not in kinds[kinds.index("Aggregate") :]
+    counts = {(r["file"], r["column"]): (r["kind"], r["n_rows"], r["n_values"]) for r in made.collect()}
+    rows = {r["file"]: (r["n"], r["x"], r["t"]) for r in table.groupBy("file").agg(F.count("*").alias("n"), F.count("x").alias("x"), F.count("t").alias("t")).collect()}
+    assert len(counts) == 71 * len(rows)
+    for (file, column), found in counts.items():
+        n, x, t = rows[file]
+        assert found == (("number", n, x) if column == "x" else ("text", n, t))
+
+
 @pytest.fixture
 def root(spark, sf_dir, tmp_path):
     records = stages.raw(spark, sf_dir).filter(F.col("ActualElapsedTime") >= 0).limit(160).toArrow()
