@@ -140,6 +140,15 @@ def slot_cells(vector: Column) -> Column:
     return F.filter(F.when(plain["type"] == 0, given).otherwise(every), lambda cell: cell["value"] != 0)
 
 
+def held_cells(vector: Column) -> Column:
+    """(idx, value) of all cells that a vector holds, zeros too. The expressions are
+    compiled, which functions with a lambda are not."""
+    plain = F.unwrap_udt(vector)
+    width = F.size(plain["values"])
+    places = F.when(plain["type"] == 0, plain["indices"]).when(width > 0, F.sequence(F.lit(0), width - 1))
+    return F.arrays_zip(places.alias("idx"), plain["values"].alias("value"))
+
+
 def continuous_slots(df: DataFrame, features: str = FEATURES) -> list[int]:
     """The slots that hold measures, by the column's metadata."""
     return sorted(row["idx"] for row in feature_names(df, features).filter("kind = 'numeric'").collect())
@@ -184,7 +193,6 @@ def chi_square(
         return df.sparkSession.createDataFrame([], CHI_SQUARE)
     counters = [F.count_if(F.col("_label") == v).alias(f"o{i}") for i, v in enumerate(labels)]
 
-    cells = slot_cells(F.col("_vector"))
     if bounds:
         values = vector_to_array("_vector")
         ranged = []
@@ -192,8 +200,12 @@ def chi_square(
             # Ranges count from 1, so that none of them is taken for the zeros.
             place = reduce(add, [(values[i] >= b).cast("int") for b in own], F.lit(1))
             ranged.append(F.struct(F.lit(i).alias("idx"), place.cast("double").alias("value")))
-        cells = F.concat(F.filter(cells, lambda cell: ~cell["idx"].isin(*bounds)), F.array(*ranged))
-    cells = rows.select("_label", F.inline(cells))
+        others = F.filter(slot_cells(F.col("_vector")), lambda cell: ~cell["idx"].isin(*bounds))
+        cells = rows.select("_label", F.inline(F.concat(others, F.array(*ranged))))
+    else:
+        # The outer form takes the cells once; the other one first asks whether there are any.
+        held = rows.select("_label", F.inline_outer(held_cells(F.col("_vector")))).toDF("_label", "idx", "value")
+        cells = held.filter(F.col("value") != 0)
     observed = cells.groupBy("idx", "value").agg(*counters)
     used = [(F.col(f"o{i}").cast("double"), total) for i, total in enumerate(totals) if total]
 
