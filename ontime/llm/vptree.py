@@ -210,7 +210,9 @@ def nearest(
         gather, "dim int, block int, queries binary, query_ids binary"
     )
     pairs = materialise(asked, "queries").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    pairs = pairs.join(trees, ["dim", "shard"])
+    # The size that the optimizer sees is that of the blocks before they are repeated per
+    # shard, so it would broadcast them, and with them a copy for every shard.
+    pairs = pairs.join(trees.hint("merge"), ["dim", "shard"])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

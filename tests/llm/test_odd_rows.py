@@ -153,6 +153,14 @@ def test_nearest_keeps_all_ties(spark):
         assert sorted(found) == sorted(wanted)
 
 
+def test_blocks_of_queries_are_not_broadcast(spark):
+    """A block is there once per shard, which the optimizer's estimate leaves out."""
+    rows = [(i, [float(i % 7), float(i % 11) + 1]) for i in range(200)]
+    found = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), shard_rows=10, block_rows=2)
+    assert found.count() == 20
+    assert "BroadcastExchange" not in found._jdf.queryExecution().toString()
+
+
 def test_urls(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://A.Net", "http://a.net/x", "x://EXAMPLE.net/en/1", "x://a.example.net/de/", "http://www.bad.com/p/?utm_x=1&b=2&a=1#f", "https://bad.com/p?a=1&b=2", "http://good.com/p", "http://notexample.com/de/", "http://example.com?/de/", "http://f.org/fr/a"]
     pages = spark.createDataFrame([(i, u, 1) for i, u in enumerate(urls)] + [(8, urls[8], 1)], "page_id long, url string, block int")
