@@ -1,0 +1,81 @@
+"""Fits that share their passes: the numbers of pyspark.ml, one by one."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import functions as F
+
+from ontime.operators import batch_fit, tuning
+from ontime.operators.batch_fit import fit_together, group_moments, linear_areas, merged_moments, pack
+from ontime.operators.models import grid_estimator
+
+WIDTH = 10
+
+
+@pytest.fixture(scope="module")
+def mixed(spark):
+    """Sparse and dense vectors, rows without a cell, a slot of one value, a large one, repeated rows."""
+    rng, rows = random.Random(5), []
+    for i in range(900):
+        x = rng.gauss(0, 1)
+        cells = {rng.randrange(4): 1.0, 4 + rng.randrange(3): 1.0, 7: x, 8: 7.3, 9: i % 13 / 9 + 2000}
+        vector = Vectors.sparse(WIDTH, cells) if i % 3 else Vectors.dense([cells.get(j, 0.0) for j in range(WIDTH)])
+        rows += [(i, vector, float(rng.random() < 1 / (1 + np.exp(-x - 0.5 * cells.get(1, 0.0)))))] * (1 + (i % 50 == 0))
+    return spark.createDataFrame(rows, ["id", "features", "label"]).repartition(3).cache()
+
+
+def test_coefficients_and_areas_of_single_fits(mixed, monkeypatch):
+    points = [(0.0, 0.0, 5, 1e-6), (0.0, 0.0, 60, 1e-6), (0.3, 0.0, 5, 1e-6), (0.01, 1.0, 5, 1e-6), (0.02, 0.5, 60, 1e-6), (1.0, 0.5, 5, 1e-6)]
+    blocks = pack(mixed.withColumn("fold", F.lit(0)), WIDTH)
+    found = fit_together(blocks, merged_moments(group_moments(blocks, WIDTH)), points)
+    plain = [LogisticRegression(regParam=p[0], elasticNetParam=p[1], maxIter=p[2], tol=p[3]).fit(mixed) for p in points]
+    for own, spark_own in zip(found, plain, strict=True):
+        assert own.coefficients == pytest.approx(spark_own.coefficients.toArray(), rel=1e-6, abs=1e-9)
+        assert own.intercept == pytest.approx(spark_own.intercept, rel=1e-6, abs=1e-6)
+    areas = tuning.fold_areas(plain, mixed)
+    assert linear_areas(blocks, {0: found}, mixed.count())[0] == pytest.approx(areas, abs=1e-12)
+    # Many ranges give the same areas.
+    monkeypatch.setattr(batch_fit, "RANGE_ROWS", 100)
+    monkeypatch.setattr(batch_fit, "SAMPLE", 7)
+    assert linear_areas(blocks, {0: found}, mixed.count())[0] == pytest.approx(areas, abs=1e-12)
+
+
+def test_a_search_fits_by_itself_only_the_best_point(mixed, monkeypatch):
+    lr, fits, real = grid_estimator(), [], Pipeline.fit
+    maps = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.1]).addGrid(lr.elasticNetParam, [0.0, 0.2]).build()
+
+    def counted(self, table, params=None):
+        fits.append(params)
+        return real(self, table, params)
+
+    monkeypatch.setattr(Pipeline, "fit", counted)
+    for key in (["id"], None):
+        del fits[:]
+        search = tuning.grid_search(mixed, lr, maps, folds=3, fold_key=key)
+        assert len(fits) == 1 and len(search.avgMetrics) == 4
+    weighted = LogisticRegression(featuresCol="features", labelCol="label", maxIter=2, fitIntercept=False)
+    del fits[:]
+    tuning.grid_search(mixed, weighted, ParamGridBuilder().addGrid(weighted.regParam, [0.0, 0.1]).build(), folds=2, fold_key=["id"])
+    assert len(fits) == 5
+
+
+def test_one_class_gives_an_intercept(spark):
+    rows = [(Vectors.dense([float(i)]), float(i % 2), i % 2) for i in range(8)]
+    blocks = pack(spark.createDataFrame(rows, ["features", "label", "fold"]), 1)
+    groups = group_moments(blocks, 1)
+    late = fit_together(blocks.filter("fold = 1"), merged_moments([g for g in groups if g.fold == 1]), [(0.0, 0.0, 5, 1e-6)])
+    assert late[0].intercept == float("inf") and not late[0].coefficients.any()
+    assert linear_areas(blocks, {0: late, 1: late}, 8) == {0: [None], 1: [None]}
+
+
+@pytest.mark.parametrize("vector", [Vectors.dense([1.0, float("nan")]), Vectors.dense([1.0]), None])
+def test_foreign_vectors_are_errors(spark, vector):
+    good = [(Vectors.dense([float(i), 1.0]), float(i % 2), i % 2) for i in range(8)]
+    table = spark.createDataFrame([*good, (vector, 1.0, 0)], ["features", "label", "fold"])
+    with pytest.raises(Exception, match="features have to be"):
+        pack(table, 2)
